@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_hash
+from .common import doc_hash, even
 
 WORDS = re.compile(r"[^\W\d_]+")
 LONGEST = 5
@@ -139,7 +139,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 def identified(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score for each row."""
     model = train(docs)
-    narrow = docs.select("doc_id", "text")
+    narrow = even(docs.select("doc_id", "text"))
     return predict(narrow, model).select("doc_id", (doc_hash("doc_id") % 5 == 0).alias("held_out"), "lang_pred", "score")
 
 

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language_id, mixing, secret_scan
+from . import binary_records, language_id, mixing, packing, secret_scan, token_counts
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count(_docs(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(_docs(spark, sf_dir))
 
@@ -23,5 +28,13 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_docs(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "source", "shards")
 
 
-QUERIES = {f.__name__: f for f in (op2_secret_scan, op3_language_id, op4_mixing)}
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_docs(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op7_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return binary_records.round_trip(_docs(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_secret_scan, op3_language_id, op4_mixing, op5_packing, op7_binary_records)}
 ORACLES: dict[str, str] = {}

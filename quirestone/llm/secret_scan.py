@@ -27,6 +27,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from .common import even
 
 # Patterns and the least lengths of a finding, in the order in which kinds are listed.
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.IGNORECASE | re.ASCII)
@@ -166,7 +167,7 @@ def scan(docs: DataFrame) -> DataFrame:
 
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = "doc_id long, n_assign long, n_access long, n_hex long, n_random long, base_sha256 string, spans string"
-    return ids.mapInPandas(work, schema)
+    return even(ids).mapInPandas(work, schema)
 
 
 def redact(text: str | None, mark: str = "[secret]") -> str | None:
