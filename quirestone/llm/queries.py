@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import binary_records, language_id, mixing, packing, secret_scan, token_counts
+from . import binary_records, language_id, minhash, mixing, packing, secret_scan, token_counts
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,9 +32,13 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_docs(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.groups(_docs(spark, sf_dir))
+
+
 def op7_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binary_records.round_trip(_docs(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_secret_scan, op3_language_id, op4_mixing, op5_packing, op7_binary_records)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_secret_scan, op3_language_id, op4_mixing, op5_packing, op6_minhash, op7_binary_records)}
 ORACLES: dict[str, str] = {}
