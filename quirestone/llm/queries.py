@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import binary_records, language_id, minhash, mixing, packing, secret_scan, token_counts
+from . import binary_records, curves, language_id, minhash, mixing, packing, product_quantisation, secret_scan, token_counts
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,5 +40,13 @@ def op7_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binary_records.round_trip(_docs(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_secret_scan, op3_language_id, op4_mixing, op5_packing, op6_minhash, op7_binary_records)}
+def op8_product_quantisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return product_quantisation.linked(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op9_curves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curves.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_secret_scan, op3_language_id, op4_mixing, op5_packing, op6_minhash, op7_binary_records, op8_product_quantisation, op9_curves)}
 ORACLES: dict[str, str] = {}
