@@ -40,57 +40,63 @@ def grams(word: str) -> list[str]:
 
 
 class Model:
-    """Vectors of log frequencies by language; unseen words are resolved once and cached."""
+    """Rows of log frequencies by language: known words first, then a bounded cache of unseen words."""
 
-    def __init__(self, words: list[tuple[str, str, int]], pieces: list[tuple[str, str, int]]):
+    def __init__(self, words: list[tuple[str, str, int]], pieces: list[tuple[str, str, int]], cache_words: int = 400_000):
         self.langs = sorted({lang for _, lang, _ in words} | {lang for _, lang, _ in pieces})
-        self.words, self.pieces = self._table(words, 0.05), self._table(pieces, 0.5)
-        self.cache: dict[str, int] = {}
-        self.rows: list[np.ndarray] = []
-
-    def _table(self, entries, alpha: float) -> dict[str, np.ndarray]:
-        at = {lang: i for i, lang in enumerate(self.langs)}
-        counts: dict[str, np.ndarray] = {}
+        known, self.known = self._table(words, 0.05)
+        grams_at, self.pieces = self._table(pieces, 0.5)
+        # a step down from the longest n-gram costs STEP, whatever the place in the word
+        self.grams = grams_at + STEP * np.array([[LONGEST - len(g)] for g in self.pieces] or np.zeros((0, 1)))
+        self.rows = np.concatenate([known, np.zeros((cache_words, len(self.langs)))])
+        self.at: dict[str, int] = dict(self.known)
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"rows": self.rows[: len(self.known)], "at": None, "room": len(self.rows)}
+
+    def __setstate__(self, state: dict) -> None:
+        rows, room = state.pop("rows"), state.pop("room")
+        self.__dict__.update(state)
+        self.rows = np.concatenate([rows, np.zeros((room - len(rows), len(self.langs)))])
+        self.at = dict(self.known)
+
+    def _table(self, entries, alpha: float) -> tuple[np.ndarray, dict[str, int]]:
+        lang_at = {lang: i for i, lang in enumerate(self.langs)}
+        at: dict[str, int] = {}
+        for text, _, _ in entries:
+            at.setdefault(text, len(at))
+        counts = np.zeros((len(at), len(self.langs)))
         for text, lang, n in entries:
-            counts.setdefault(text, np.zeros(len(self.langs)))[at[lang]] += n
-        total = sum(counts.values(), np.zeros(len(self.langs))) + alpha * max(len(counts), 1)
-        return {text: np.log((c + alpha) / total) for text, c in counts.items()}
-
-    def word(self, word: str) -> np.ndarray:
-        known = self.words.get(word)
-        if known is not None:
-            return known
-        marked = f"<{word[:200]}>" if len(word) <= 200 else f"<{word}>"
-        out, n = np.zeros(len(self.langs)), 0
+            counts[at[text], lang_at[lang]] += n
+        return np.log((counts + alpha) / (counts.sum(0) + alpha * max(len(at), 1))), at
+
+    def backed_off(self, word: str) -> np.ndarray:
+        marked, get, found = f"<{word}>", self.pieces.get, []
         for i in range(len(marked)):
-            for step, size in enumerate(range(LONGEST, 0, -1)):
-                if i + size <= len(marked):
-                    v = self.pieces.get(marked[i : i + size])
-                    if v is not None:
-                        out += v + step * STEP
-                        n += 1
-                        break
-        return out / n if n else out
+            for end in range(min(i + LONGEST, len(marked)), i, -1):
+                g = get(marked[i:end])
+                if g is not None:
+                    found.append(g)
+                    break
+        return self.grams[found].sum(0) / len(found) if found else np.zeros(len(self.langs))
 
     def predict(self, text: str | None) -> tuple[str, float]:
         words = WORDS.findall(text.lower()) if text else []
         if not words or not self.langs:
             return "und", 0.0
-        cache = self.cache
-        if len(cache) > 400_000:
-            cache.clear()
-            self.rows.clear()
-        at = list(map(cache.get, words))
+        at = list(map(self.at.get, words))
         if None in at:
-            for i, a in enumerate(at):
-                if a is None:
-                    w = words[i]
-                    if w not in cache:
-                        cache[w] = len(self.rows)
-                        self.rows.append(self.word(w))
-                    at[i] = cache[w]
-        seen = Counter(at)
-        total = sum((n * self.rows[a] for a, n in sorted(seen.items())), np.zeros(len(self.langs)))
+            new = {w for w, a in zip(words, at) if a is None}
+            if len(self.at) + len(new) > len(self.rows):
+                self.at = dict(self.known)
+                new |= set(words) - self.known.keys()
+                if len(self.at) + len(new) > len(self.rows):  # a text with more unseen words than the cache holds
+                    self.rows = np.concatenate([self.rows, np.zeros((len(new), len(self.langs)))])
+            for w in new:
+                i = self.at[w] = len(self.at)
+                self.rows[i] = self.backed_off(w)
+            at = list(map(self.at.__getitem__, words))
+        total = self.rows[at].sum(0)
         best = int(np.argmax(total))
         return self.langs[best], float(1 / np.exp(total - total[best]).sum())
 
