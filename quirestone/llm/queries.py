@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import binary_records, curves, language_id, minhash, mixing, packing, product_quantisation, secret_scan, token_counts
+from . import binary_records, curves, language_id, minhash, mixing, ngram_lm, packing, product_quantisation, secret_scan, token_counts
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,5 +48,9 @@ def op9_curves(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curves.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_secret_scan, op3_language_id, op4_mixing, op5_packing, op6_minhash, op7_binary_records, op8_product_quantisation, op9_curves)}
+def op10_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.scored(_docs(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_secret_scan, op3_language_id, op4_mixing, op5_packing, op6_minhash, op7_binary_records, op8_product_quantisation, op9_curves, op10_ngram_lm)}
 ORACLES: dict[str, str] = {}
