@@ -1,93 +1,126 @@
 """Whole-text encoding with the tokenizers library, through a bounded cache of text chunks.
 
-A text is cut before each run of ASCII white space that follows other characters. No pre-token of the
-vocabularies used here crosses such a place, so the ids of the chunks, in order, are the ids of the
-text; each different chunk is encoded by the library once per cache fill. Texts in which that is not
-certain (other white space, control characters or special tokens) are encoded whole.
+A text is cut where no pre-token of the vocabularies used here can cross, so that the ids of the chunks,
+in order, are the ids of the text; each different chunk is encoded by the library once and cached.
+
+* Texts of ASCII and Latin letters are cut before white space and between letters and other characters
+  (an apostrophe keeps the letters after it: contractions are pre-tokens).
+* Texts with other characters are cut only before ASCII white space that follows something else.
+* Texts with other white space, control characters, combining marks or ``<|`` are encoded whole.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
+import sys
+from array import array
 
 import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-CHUNK = re.compile(r"[ \t\n\r\x0b\x0c]*[^ \t\n\r\x0b\x0c]+|[ \t\n\r\x0b\x0c]+")
-#: White space or marks for which the chunk rule is not proved, and the start of special tokens.
-UNSURE = re.compile(r"[^\S \t\n\r\x0b\x0c]|[\x00-\x08\x0e-\x1f\x7f-\x9f̀-ͯ​-‏﻿]|<\|")
+LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
+
+_W, _L = r" \t\n\r\x0b\x0c", "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+COARSE = re.compile(f"[{_W}]*[^{_W}]+|[{_W}]+")
+FINE = re.compile(f"[{_W}]*[{_L}]+|[{_W}]*[^{_L}{_W}]+(?:(?<=')[{_L}]+)?|[{_W}]+")
+#: The same without the white space, for vocabularies that drop it.
+FINE_DROPPED = re.compile(f"[{_L}]+|[^{_L}{_W}]+(?:(?<=')[{_L}]+)?")
+NOT_FINE = re.compile(f"[^\x00-\x7f{_L}]")
+UNSURE = re.compile("[^\\S \\t\\n\\r\\x0b\\x0c]|[\x00-\x08\x0e-\x1f\x7f-\x9f\u0300-\u036f\u200b-\u200f\ufeff]|<\\|")
 
 
 class ChunkEncoder:
-    """``ids(text)``: uint32 little-endian bytes; ``spans(text)``: character start and end of each token."""
+    """``ids(text)``: uint32 little-endian bytes; ``spans(text)``: character start and end of each token.
+
+    The caches have two generations of ``most`` entries: what is used stays when the older one goes."""
 
-    def __init__(self, path: str, most: int = 300_000):
+    def __init__(self, path: str, most: int = 350_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.most = most
-        self.cache: dict[str, bytes] = {}
-        self.span_cache: dict[str, tuple[bytes, bytes, int]] = {}
-
-    def _whole(self, text: str):
-        return self.tokenizer.encode(text, add_special_tokens=False)
-
-    def _fill(self, chunks: list[str]) -> None:
-        cache = self.cache
-        if len(cache) > self.most:
-            cache.clear()
-        new = list({c for c in chunks if c not in cache})
-        if new:
-            for c, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                cache[c] = np.array(e.ids, "<u4").tobytes()
+        with open(path, encoding="utf-8") as f:
+            rules = json.load(f)
+        steps = (rules.get("normalizer") or {}).get("normalizers", [])
+        #: lower case and white space dropped: chunks may be cut after lower-casing, without white space
+        self.folds = any(x["type"] == "Lowercase" for x in steps) and (rules.get("pre_tokenizer") or {}).get("type") == "Sequence"
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.new_spans: dict[str, tuple[bytes, bytes, int]] = {}
+        self.old_spans: dict[str, tuple[bytes, bytes, int]] = {}
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _cut(self, text: str) -> list[str] | None:
+        if text.isascii() or not NOT_FINE.search(text):
+            if UNSURE.search(text):
+                return None
+            return FINE_DROPPED.findall(text.lower()) if self.folds else FINE.findall(text)
+        return None if UNSURE.search(text) else COARSE.findall(text)
+
+    def _fill(self, chunks: set[str]) -> None:
+        new, old = self.new, self.old
+        if len(new) > self.most:
+            self.old = old = new
+            self.new = new = {}
+        ask = []
+        for c in chunks.difference(new):
+            got = old.get(c)
+            if got is None:
+                ask.append(c)
+            else:
+                new[c] = got
+        for c, e in zip(ask, self.tokenizer.encode_batch_fast(ask, add_special_tokens=False) if ask else ()):
+            new[c] = array("I", e.ids).tobytes() if LITTLE else np.array(e.ids, "<u4").tobytes()
 
     def ids(self, text: str) -> bytes:
-        if UNSURE.search(text):
-            return np.array(self._whole(text).ids, "<u4").tobytes()
-        chunks = CHUNK.findall(text)
-        self._fill(chunks)
-        return b"".join(map(self.cache.__getitem__, chunks))
+        return self.batch([text])[0]
 
     def batch(self, texts: list[str]) -> list[bytes]:
         """``ids`` of many texts; chunks that are new to the cache go to the library together."""
-        cut = [None if UNSURE.search(t) else CHUNK.findall(t) for t in texts]
-        out, lo = [], 0
+        out: list[bytes] = []
+        lo = 0
         while lo < len(texts):
-            hi, n = lo, 0
-            while hi < len(texts) and (hi == lo or n < 50_000):
-                n += len(cut[hi] or ())
-                hi += 1
-            self._fill([c for x in cut[lo:hi] if x for c in x])
-            get = self.cache.__getitem__
-            for i in range(lo, hi):
-                out.append(
-                    np.array(self._whole(texts[i]).ids, "<u4").tobytes() if cut[i] is None else b"".join(map(get, cut[i]))
-                )
-                cut[i] = None
-            lo = hi
+            cut, n = [], 0
+            while lo + len(cut) < len(texts) and (not cut or n < 100_000):
+                cut.append(self._cut(texts[lo + len(cut)]))
+                n += len(cut[-1] or ())
+            self._fill(set().union(*[c for c in cut if c]))
+            get = self.new.__getitem__
+            out += [self._whole(texts[lo + i]) if c is None else b"".join(map(get, c)) for i, c in enumerate(cut)]
+            lo += len(cut)
         return out
 
     def spans(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        if UNSURE.search(text):
-            got = np.array(self._whole(text).offsets, "<u4").reshape(-1, 2)
-            return got[:, 0].astype(np.int64), got[:, 1].astype(np.int64)
-        chunks, cache = CHUNK.findall(text), self.span_cache
-        if len(cache) > self.most:
-            cache.clear()
-        new = list({c for c in chunks if c not in cache})
-        if new:
-            for c, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-                o = np.array(e.offsets, "<u4").reshape(-1, 2)
-                cache[c] = (o[:, 0].tobytes(), o[:, 1].tobytes(), len(o))
-        got = [cache[c] for c in chunks]
-        at = np.concatenate([[0], np.cumsum([len(c) for c in chunks])[:-1]]).astype(np.int64) if chunks else np.zeros(0, np.int64)
-        base = np.repeat(at, np.fromiter((g[2] for g in got), np.int64, len(got)))
-        return (
-            np.frombuffer(b"".join([g[0] for g in got]), "<u4").astype(np.int64) + base,
-            np.frombuffer(b"".join([g[1] for g in got]), "<u4").astype(np.int64) + base,
-        )
+        chunks = None if UNSURE.search(text) else (COARSE if NOT_FINE.search(text) else FINE).findall(text)
+        if chunks is None:
+            got = np.array(self.tokenizer.encode(text, add_special_tokens=False).offsets, np.int64).reshape(-1, 2)
+            return got[:, 0], got[:, 1]
+        if len(self.new_spans) > self.most:
+            self.old_spans, self.new_spans = self.new_spans, {}
+        cache, old = self.new_spans, self.old_spans
+        ask = []
+        for c in set(chunks).difference(cache):
+            kept = old.get(c)
+            if kept is None:
+                ask.append(c)
+            else:
+                cache[c] = kept
+        if ask:
+            for c, e in zip(ask, self.tokenizer.encode_batch(ask, add_special_tokens=False)):
+                o = e.offsets
+                cache[c] = (np.array([x[0] for x in o], "<u4").tobytes(), np.array([x[1] for x in o], "<u4").tobytes(), len(o))
+        if not chunks:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        starts, ends, counts = zip(*map(cache.__getitem__, chunks))
+        at = np.cumsum(np.fromiter(map(len, chunks), np.int64, len(chunks)))
+        at = np.concatenate([[0], at[:-1]])
+        base = np.repeat(at, np.array(counts, np.int64))
+        return np.frombuffer(b"".join(starts), "<u4") + base, np.frombuffer(b"".join(ends), "<u4") + base
 
 
 _ENCODERS: dict[str, ChunkEncoder] = {}
