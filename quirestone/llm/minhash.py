@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from .common import even, materialize
+from .common import even, forget, materialize
 from .graph import components
 
 WIDTH = 5
@@ -240,25 +240,25 @@ def _across(members: DataFrame) -> DataFrame:
 
 def groups(docs: DataFrame) -> DataFrame:
     """doc_id, class_id (same words), component_id (reachable by links), kept for each row."""
+    spark = docs.sparkSession
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.col("text").cast("string").alias("text"))
     sketched = materialize(sketch(rows), "near-sketch")
     classes = materialize(sketched.groupBy("key").agg(F.min(F.struct("id", "sig", "bands")).alias("x")).select("key", "x.*"), "near-classes")
     sigs = classes.filter("sig is not null").select("id", "sig")
     banded = classes.filter("sig is not null").select("id", F.explode("bands").alias("h"))
-    # a representative's own row and text; rows that share an id with another text are told apart by the key
-    texts = rows
-
     buckets = materialize(banded.groupBy("h").agg(F.count(F.lit(1)).alias("members"), F.min("id").alias("centre")).filter("members > 1"), "near-buckets")
-    stars = banded.join(buckets, "h").filter("id <> centre").select(F.col("id").alias("a"), F.col("centre").alias("b")).distinct()
-    links = _verified(materialize(stars, "near-stars"), sigs, texts)
-    found = components(links)
-
-    found = materialize(found, "near-found")
-    placed = classes.filter("sig is not null").select("id", "sig", F.explode("bands").alias("h")).join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    open_buckets = placed.join(buckets, "h").groupBy("h").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).filter("c0 <> c1").select("h")
-    open_buckets = materialize(buckets.join(open_buckets, "h").select("h", "members"), "near-open")
-    more = _across(placed.join(open_buckets, "h"))
-    more = _verified(materialize(more, "near-across"), sigs, texts)
+    members = materialize(banded.join(buckets, "h").select("h", "id", "members", "centre"), "near-members")
+    stars = materialize(members.filter("id <> centre").select(F.col("id").alias("a"), F.col("centre").alias("b")).distinct(), "near-stars")
+    links = _verified(stars, sigs, rows)
+    found = materialize(components(links), "near-found")
+    forget(spark, stars)
+
+    # buckets that still hold several components; signatures travel for their members only
+    placed = materialize(members.join(found.withColumnRenamed("node", "id"), "id", "left").select("h", "id", "members", F.coalesce("component", "id").alias("component")), "near-placed")
+    several = materialize(placed.groupBy("h").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).filter("c0 <> c1").select("h"), "near-open")
+    unsettled = materialize(placed.join(several, "h"), "near-unsettled")
+    across = materialize(_across(unsettled.join(sigs, "id")), "near-across")
+    more = _verified(across, sigs, rows)
     if more.head(1):
         found = materialize(components(links.union(more)), "near-found")
 
