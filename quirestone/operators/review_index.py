@@ -104,7 +104,7 @@ def folder_ranges(entries_: DataFrame, last_page: Column | None = None, ord: str
     else:
         end = F.greatest("page_start", F.col("next_page") - 1)
     rest = F.col("page_start") if last_page is None else last_page
-    return e.withColumn("page_end", F.coalesce(end, rest))
+    return e.withColumn("page_end", F.when(F.col("next_page").isNull(), rest).otherwise(end))
 
 
 def index_tree(entries_: DataFrame) -> DataFrame:

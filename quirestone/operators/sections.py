@@ -147,7 +147,7 @@ def leaf_bounds(leaves: DataFrame, blocks: DataFrame, toc_pages: DataFrame) -> D
     head = top(pairs, ["doc_id", "ord"], [F.length(text).asc(), F.col("bbox")[1].asc(), F.col("block_id").asc()]).select("doc_id", "ord", F.col("bbox")[1].alias("start_y"), F.col("block_id").alias("block_start_id"))
     cut = leaves.join(toc_pages.withColumnRenamed("page_no", "toc_page"), "doc_id").filter((F.col("toc_page") > F.col("page_start")) & (F.col("toc_page") <= F.col("page_end"))).groupBy("doc_id", "ord").agg(F.min("toc_page").alias("toc_page"))
     out = leaves.join(head, ["doc_id", "ord"], "left").join(cut, ["doc_id", "ord"], "left")
-    out = out.withColumn("page_end", F.coalesce(F.greatest("page_start", F.col("toc_page") - 1), "page_end")).drop("toc_page")
+    out = out.withColumn("page_end", F.when(F.col("toc_page").isNotNull(), F.greatest("page_start", F.col("toc_page") - 1)).otherwise(F.col("page_end"))).drop("toc_page")
     w = doc_window("ord")
     return out.withColumn("end_y", F.when(F.lead("page_start").over(w) == F.col("page_end"), F.lead("start_y").over(w)))
 
