@@ -1,8 +1,8 @@
 """Token ids as length-delimited binary records with masked checksums and an offset index.
 
 A data file is a run of records: length (u64), masked crc32 of those 8 bytes (u32), payload, masked crc32
-of the payload (u32), all little-endian. The payload is a flag (1 byte: the id is there), the document's
-id (i64) and its token ids (u32 each). Its index file holds, for each record, the record's byte offset
+of the payload (u32), all little-endian. The payload is a flag (1 byte; bit 0: the id is there, bit 1: wide
+ids), the document's id (i64) and its token ids (u16 each, or u32 if one doesn't fit). Its index file holds, for each record, the record's byte offset
 and the number of token ids before it in the file (u64 each), so records can be read in any order.
 The mask rotates a crc right by 15 bits and adds 0xA282EAD8, as record formats do that may be nested.
 
@@ -39,23 +39,24 @@ def masked(data: bytes) -> int:
     return (((crc >> 15) | (crc << 17)) + MASK_DELTA) & 0xFFFFFFFF
 
 
-def record(doc_id: int | None, ids: bytes) -> bytes:
-    payload = struct.pack("<?q", doc_id is not None, doc_id or 0) + ids
+def record(doc_id: int | None, ids: np.ndarray) -> bytes:
+    wide = len(ids) > 0 and int(ids.max()) > 0xFFFF
+    payload = struct.pack("<Bq", (doc_id is not None) + 2 * wide, doc_id or 0) + ids.astype("<u4" if wide else "<u2").tobytes()
     size = struct.pack("<Q", len(payload))
     return b"".join((size, struct.pack("<I", masked(size)), payload, struct.pack("<I", masked(payload))))
 
 
-def read_record(data, at: int) -> tuple[int | None, bytes, int]:
+def read_record(data, at: int) -> tuple[int | None, np.ndarray, int]:
     """The id, the token ids and the place after the record at ``at``; ValueError if anything is damaged."""
     size = bytes(data[at : at + 8])
     if len(size) < 8 or struct.unpack_from("<I", data, at + 8)[0] != masked(size):
         raise ValueError(f"damaged record length at {at}")
     n = struct.unpack("<Q", size)[0]
-    payload = bytes(data[at + 12 : at + 12 + n])
+    payload = data[at + 12 : at + 12 + n]
     if len(payload) < n or struct.unpack_from("<I", data, at + 12 + n)[0] != masked(payload):
         raise ValueError(f"damaged record at {at}")
-    there, doc_id = struct.unpack_from("<?q", payload)
-    return doc_id if there else None, payload[9:], at + 16 + n
+    flags, doc_id = struct.unpack_from("<Bq", payload)
+    return doc_id if flags & 1 else None, np.frombuffer(payload, "<u4" if flags & 2 else "<u2", offset=9).astype("<u4"), at + 16 + n
 
 
 def file_system(uri: str):
@@ -84,7 +85,7 @@ def write(docs: DataFrame, path: str, end_id: int, folder: str) -> DataFrame:
                 if out is None:
                     out = files.open_output_stream(f"{root}/{name}.bin", buffer_size=1 << 20)
                 ids += end
-                data = record(None if pd.isna(doc_id) else int(doc_id), ids)
+                data = record(None if pd.isna(doc_id) else int(doc_id), np.frombuffer(ids, "<u4"))
                 out.write(data)
                 index += (at, tokens)
                 at += len(data)
@@ -118,7 +119,7 @@ def read(manifest: DataFrame, folder: str) -> DataFrame:
                     data = memoryview(f.read())
                 for at, start in index.tolist():
                     doc_id, ids, _ = read_record(data, at)
-                    rows.append((doc_id, base + start, len(ids) // 4, zlib.crc32(ids)))
+                    rows.append((doc_id, base + start, len(ids), zlib.crc32(ids)))
                 yield pd.DataFrame(rows, columns=["doc_id", "start", "n_tokens", "ids_crc32"]).astype({"doc_id": "Int64"})
 
     # the window leaves one partition of manifest rows; a row names a whole file, so rows are dealt out one by one
