@@ -170,7 +170,7 @@ def search(emb: DataFrame, k: int = 20, every: int = 20, curves: int = 3, recall
         is_query = pdf["query_id"].notna()
         q, m = pdf[is_query], pdf[~is_query]
         if not len(q) or not len(m):
-            return pd.DataFrame({"query_id": [], "ids": [], "scores": []}).astype({"query_id": "int64"})
+            return pd.DataFrame({"query_id": np.zeros(0, np.int64), "ids": np.zeros(0, object), "scores": np.zeros(0, object)})
         got = list(best_of(stacked(q["v"], d), q["query_id"].to_numpy().astype(np.int64), stacked(m["v"], d), m["ids"].tolist(), k))
         return pd.DataFrame(got, columns=["query_id", "ids", "scores"])
 
@@ -193,6 +193,8 @@ def _half_width(base: DataFrame, queries: DataFrame, asked: int, model: Curves,
                 keys = model.keys(x, False)
                 first = {int(i): j for j, ids in enumerate(pdf["ids"]) for i in ids}
                 for own, ids, scores in best_of(qv, qid, x, pdf["ids"].tolist(), k):
+                    if not len(ids):  # a batch that holds nothing but the query
+                        continue
                     yield pd.DataFrame({"query_id": own, "vec_id": ids, "score": scores, "keys": [keys[first[int(i)]] for i in ids]})
 
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
