@@ -63,6 +63,11 @@ def sheet_rows(cells: DataFrame) -> DataFrame:
     return filled.withColumn("file_type", F.coalesce(F.nullif(F.col("file_type"), F.lit("")), "sheet_type")).drop("sheet_type")
 
 
+def _plain(rows: list[dict], columns: list[str]) -> pd.DataFrame:
+    """Rows as a frame of Python objects, None where a value is missing."""
+    return pd.DataFrame([[r.get(c) for c in columns] for r in rows], columns=columns, dtype=object)
+
+
 def read_documents(spark: SparkSession, path: str, extract: Callable[[bytes], Iterator[dict]], schema: str) -> DataFrame:
     """Binary files through an extractor that yields rows for one file (PDF libraries are plug-ins); a failing file gives an error row."""
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -73,7 +78,7 @@ def read_documents(spark: SparkSession, path: str, extract: Callable[[bytes], It
                     rows = [{"path": name, "error": None, **r} for r in extract(data)]
                 except Exception as e:  # noqa: BLE001  a broken file is data, not a reason to stop
                     rows = [{"path": name, "error": str(e)}]
-                yield pd.DataFrame(rows).reindex(columns=["path", "error", *columns])
+                yield _plain(rows, ["path", "error", *columns])
 
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(work, f"path string, error string, {schema}")
 
@@ -95,7 +100,7 @@ def call_pages(pages: DataFrame, client: Callable[[dict], dict], schema: str, re
                     if got:
                         break
                 out.append(row | {"error": error if got else error or "empty"} | (got or {}))
-            yield pd.DataFrame(out).reindex(columns=[*names, "error", *columns])
+            yield _plain(out, [*names, "error", *columns])
 
     spread = pages.repartition(workers) if workers else pages
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema)
