@@ -82,7 +82,8 @@ class Model:
 
     def predict(self, text: str | None) -> tuple[str, float]:
         words = WORDS.findall(text.lower()) if text else []
-        if not words or not self.langs:
+        # \w has numerals such as superscripts that are no letters; the first real word ends the search
+        if not self.langs or not any(c.isalpha() for w in words for c in w):
             return "und", 0.0
         at = list(map(self.at.get, words))
         if None in at:

@@ -98,10 +98,10 @@ def test_redaction_removes_what_was_found():
 def test_language_by_held_out_accuracy(spark, empty):
     de, en = "der die und nicht ein auch werden schule".split(), "the and not one also become school with".split()
     rows = [(i, " ".join((de if i % 2 else en)[(i * k) % 8] for k in range(1, 12)), "de" if i % 2 else "en") for i in range(60)]
-    rows += [(100, None, "de"), (101, "12 !", "en"), (102, "schulen werdend", None)]
+    rows += [(100, None, "de"), (101, "12 !", "en"), (103, "x² ".replace("x", ""), "en"), (102, "schulen werdend", None)]
     got = {r["doc_id"]: r for r in language_id.identified(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
     assert all(got[i]["lang_pred"] == lang for i, _, lang in rows[:60])
-    assert got[100]["lang_pred"] == got[101]["lang_pred"] == "und" and got[100]["score"] == 0
+    assert got[100]["lang_pred"] == got[101]["lang_pred"] == got[103]["lang_pred"] == "und" and got[100]["score"] == 0
     assert got[102]["lang_pred"] == "de" and 0.5 < got[102]["score"] <= 1
     assert all(r["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0) for i, r in got.items())
     assert language_id.identified(empty).count() == 0
