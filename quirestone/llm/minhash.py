@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from .common import even, forget, materialize
+from .common import even, forget, materialize, only_cache
 from .graph import components
 
 WIDTH = 5
@@ -42,6 +42,8 @@ SIMILARITY = 0.8
 #: Signature agreement under which a pair isn't verified: 3.6 standard deviations under 0.8.
 SIEVE = 0.67
 TILE = 1024
+#: Centres that a representative is verified against at first.
+CENTRES = 4
 NO_ID = -(1 << 62)
 
 _U = np.uint64
@@ -60,7 +62,7 @@ _WORDS: dict[str, int] = {}
 
 
 def word_hashes(words: list[str]) -> np.ndarray:
-    if len(_WORDS) > 500_000:
+    if len(_WORDS) > 300_000:
         _WORDS.clear()
     got = list(map(_WORDS.get, words))
     if None in got:
@@ -153,6 +155,7 @@ def sketch(docs: DataFrame) -> DataFrame:
     """id, key (hash of the words), sig (null without words), bands for each row."""
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        only_cache("minhash", _WORDS.clear)
         for pdf in batches:
             lo = 0
             texts = pdf["text"].tolist()
@@ -188,6 +191,7 @@ def agreement(a: pd.Series, b: pd.Series) -> pd.Series:
 
 @F.pandas_udf(DoubleType())
 def text_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
+    only_cache("minhash", _WORDS.clear)
     last, s = None, None
     out = []
     for x, y in zip(a, b):
@@ -220,19 +224,19 @@ def _across(members: DataFrame) -> DataFrame:
         pdf = pdf.sort_values("id", ignore_index=True)
         sig = np.frombuffer(b"".join(pdf["sig"]), np.uint32).reshape(len(pdf), -1)
         comp, ids, tile = pdf["component"].to_numpy(), pdf["id"].to_numpy(), pdf["tile"].to_numpy()
-        cross = pdf["t0"].iat[0] != pdf["t1"].iat[0] if len(pdf) else False
+        cross = pdf["t0"].iat[0] != pdf["t1"].iat[0]
+        names, count = np.unique(comp, return_counts=True)
         out = []
-        for i in range(len(pdf)):
-            near = (sig[i + 1 :] == sig[i]).mean(axis=1)
-            ok = (near >= SIEVE) & (comp[i + 1 :] != comp[i])
+        for i in np.flatnonzero(comp != names[np.argmax(count)]):  # a pair across components has a side outside the largest
+            other = comp != comp[i]
             if cross:
-                ok &= tile[i + 1 :] != tile[i]
-            best: dict[int, tuple[float, int]] = {}
-            for j in np.flatnonzero(ok):
-                c = comp[i + 1 + j]
-                if c not in best or near[j] > best[c][0]:
-                    best[c] = (near[j], ids[i + 1 + j])
-            out += [(ids[i], b) for _, b in best.values()]
+                other &= tile != tile[i]
+            at = np.flatnonzero(other)
+            near = (sig[at] == sig[i]).mean(axis=1)
+            at, near = at[near >= SIEVE], near[near >= SIEVE]
+            order = np.lexsort((ids[at], -near))
+            _, first = np.unique(comp[at[order]], return_index=True)
+            out += [(max(ids[i], ids[j]), min(ids[i], ids[j])) for j in at[order[first]]]
         return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
     return m.groupBy("h", "t0", "t1").applyInPandas(work, "a long, b long").distinct()
@@ -248,7 +252,10 @@ def groups(docs: DataFrame) -> DataFrame:
     banded = classes.filter("sig is not null").select("id", F.explode("bands").alias("h"))
     buckets = materialize(banded.groupBy("h").agg(F.count(F.lit(1)).alias("members"), F.min("id").alias("centre")).filter("members > 1"), "near-buckets")
     members = materialize(banded.join(buckets, "h").select("h", "id", "members", "centre"), "near-members")
-    stars = materialize(members.filter("id <> centre").select(F.col("id").alias("a"), F.col("centre").alias("b")).distinct(), "near-stars")
+    # a representative first tries its few smallest centres, which near copies share; what that leaves apart is settled below
+    near = Window.partitionBy("a").orderBy("b")
+    stars = members.filter("id <> centre").select(F.col("id").alias("a"), F.col("centre").alias("b")).distinct().withColumn("n", F.row_number().over(near))
+    stars = materialize(stars.filter(F.col("n") <= CENTRES).select("a", "b"), "near-stars")
     links = _verified(stars, sigs, rows)
     found = materialize(components(links), "near-found")
     forget(spark, stars)
