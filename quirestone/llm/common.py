@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,3 +71,15 @@ def even(df: DataFrame, least: int | None = None) -> DataFrame:
     """Deal rows out evenly when a scan gave fewer partitions than there are task slots."""
     n = least or 2 * slots(df.sparkSession)
     return df.repartition(n) if df.rdd.getNumPartitions() < slots(df.sparkSession) else df
+
+
+_CACHES: dict[str, Callable[[], object]] = {}
+
+
+def only_cache(name: str, clear: Callable[[], object]) -> None:
+    """Called by an operator's code in a worker before it fills its cache: drops those of other operators.
+
+    Workers live on through the stages of a pipeline; without this each would hold every stage's cache."""
+    for other in [k for k in _CACHES if k != name]:
+        _CACHES.pop(other)()
+    _CACHES[name] = clear

@@ -16,9 +16,12 @@ import os
 import re
 import sys
 from array import array
+from collections import Counter, deque
 
 import numpy as np
 
+from .common import only_cache
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
@@ -28,95 +31,136 @@ COARSE = re.compile(f"[{_W}]*[^{_W}]+|[{_W}]+")
 FINE = re.compile(f"[{_W}]*[{_L}]+|[{_W}]*[^{_L}{_W}]+(?:(?<=')[{_L}]+)?|[{_W}]+")
 #: The same without the white space, for vocabularies that drop it.
 FINE_DROPPED = re.compile(f"[{_L}]+|[^{_L}{_W}]+(?:(?<=')[{_L}]+)?")
-NOT_FINE = re.compile(f"[^\x00-\x7f{_L}]")
+#: Bytes of ASCII text and of the letters U+00C0 to U+023F in UTF-8: a text without others is fine.
+FINE_BYTES = bytes([*range(0x20, 0x7F), *b"\t\n\r\x0b\x0c", *range(0x80, 0xC0), *range(0xC3, 0xC9)])
 UNSURE = re.compile("[^\\S \\t\\n\\r\\x0b\\x0c]|[\x00-\x08\x0e-\x1f\x7f-\x9f\u0300-\u036f\u200b-\u200f\ufeff]|<\\|")
 
 
+#: Entries of the small table, and how many chunks are counted to choose them.
+COMMON, COMMON_FROM = 12_000, 600_000
+
+
+class Generations(dict):
+    """A cache that keeps what was used since the last turn over; ``ask`` gathers keys that it doesn't have."""
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.most, self.old, self.ask = most, {}, set()
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            self.ask.add(key)
+            return None
+        self[key] = value
+        return value
+
+    def ready(self) -> Generations:
+        """Turned over if full, with nothing asked for."""
+        if len(self) > self.most:
+            self.old = dict(self)
+            self.clear()
+        self.ask.clear()
+        return self
+
+
+def filled(got: list, keys: list, cache: dict) -> None:
+    """Look up again what was missing, at its places only."""
+    at = -1
+    while True:
+        try:
+            at = got.index(None, at + 1)
+        except ValueError:
+            return
+        got[at] = cache[keys[at]]
+
+
 class ChunkEncoder:
     """``ids(text)``: uint32 little-endian bytes; ``spans(text)``: character start and end of each token.
 
-    The caches have two generations of ``most`` entries: what is used stays when the older one goes."""
+    The caches have two generations of ``most`` entries (about 200 bytes each): what is used stays when the
+    older one goes."""
 
-    def __init__(self, path: str, most: int = 350_000):
+    def __init__(self, path: str, most: int = 450_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.most = most
         with open(path, encoding="utf-8") as f:
             rules = json.load(f)
         steps = (rules.get("normalizer") or {}).get("normalizers", [])
         #: lower case and white space dropped: chunks may be cut after lower-casing, without white space
         self.folds = any(x["type"] == "Lowercase" for x in steps) and (rules.get("pre_tokenizer") or {}).get("type") == "Sequence"
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.new_spans: dict[str, tuple[bytes, bytes, int]] = {}
-        self.old_spans: dict[str, tuple[bytes, bytes, int]] = {}
+        self.cache, self.span_cache = Generations(most), Generations(most)
+        self.common: dict[str, bytes] = {}
+        self.sample: Counter = Counter()
+        self.sampled = 0
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _cut(self, text: str) -> list[str] | None:
-        if text.isascii() or not NOT_FINE.search(text):
-            if UNSURE.search(text):
-                return None
+        data = text.encode("utf-8", "surrogatepass")
+        if not data.translate(None, FINE_BYTES) and b"<|" not in data:
             return FINE_DROPPED.findall(text.lower()) if self.folds else FINE.findall(text)
         return None if UNSURE.search(text) else COARSE.findall(text)
 
-    def _fill(self, chunks: set[str]) -> None:
-        new, old = self.new, self.old
-        if len(new) > self.most:
-            self.old = old = new
-            self.new = new = {}
-        ask = []
-        for c in chunks.difference(new):
-            got = old.get(c)
-            if got is None:
-                ask.append(c)
-            else:
-                new[c] = got
-        for c, e in zip(ask, self.tokenizer.encode_batch_fast(ask, add_special_tokens=False) if ask else ()):
-            new[c] = array("I", e.ids).tobytes() if LITTLE else np.array(e.ids, "<u4").tobytes()
-
     def ids(self, text: str) -> bytes:
         return self.batch([text])[0]
 
     def batch(self, texts: list[str]) -> list[bytes]:
-        """``ids`` of many texts; chunks that are new to the cache go to the library together."""
+        """``ids`` of many texts; chunks that are new to the cache go to the library together.
+
+        Lookups cost a cache line or more each, so the commonest chunks sit in a small table before the large one."""
         out: list[bytes] = []
         lo = 0
         while lo < len(texts):
-            cut, n = [], 0
-            while lo + len(cut) < len(texts) and (not cut or n < 100_000):
-                cut.append(self._cut(texts[lo + len(cut)]))
-                n += len(cut[-1] or ())
-            self._fill(set().union(*[c for c in cut if c]))
-            get = self.new.__getitem__
-            out += [self._whole(texts[lo + i]) if c is None else b"".join(map(get, c)) for i, c in enumerate(cut)]
+            cut, found, n = [], [], 0
+            cache = self.cache.ready()
+            common, get = self.common.get, cache.__getitem__
+            while lo + len(cut) < len(texts) and (not cut or n < 200_000):
+                chunks = self._cut(texts[lo + len(cut)])
+                got = list(map(common, chunks or ()))
+                if None in got:
+                    got = [get(c) if g is None else g for g, c in zip(got, chunks)]
+                cut.append(chunks)
+                found.append(got)
+                n += len(got)
+            ask = list(cache.ask)
+            for c, e in zip(ask, self.tokenizer.encode_batch_fast(ask, add_special_tokens=False) if ask else ()):
+                cache[c] = array("I", e.ids).tobytes() if LITTLE else np.array(e.ids, "<u4").tobytes()
+            for i, (chunks, got) in enumerate(zip(cut, found)):
+                if chunks is None:
+                    out.append(self._whole(texts[lo + i]))
+                    continue
+                filled(got, chunks, cache)
+                out.append(b"".join(got))
             lo += len(cut)
+            if self.sampled < COMMON_FROM:
+                self.sample.update(c for chunks in cut if chunks for c in chunks)
+                self.sampled += n
+                if self.sampled >= COMMON_FROM:
+                    self.common = {c: get(c) for c, _ in self.sample.most_common(COMMON)}
+                    self.sample.clear()
         return out
 
     def spans(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        chunks = None if UNSURE.search(text) else (COARSE if NOT_FINE.search(text) else FINE).findall(text)
+        data = text.encode("utf-8", "surrogatepass")
+        fine = not data.translate(None, FINE_BYTES) and b"<|" not in data
+        chunks = FINE.findall(text) if fine else None if UNSURE.search(text) else COARSE.findall(text)
         if chunks is None:
             got = np.array(self.tokenizer.encode(text, add_special_tokens=False).offsets, np.int64).reshape(-1, 2)
             return got[:, 0], got[:, 1]
-        if len(self.new_spans) > self.most:
-            self.old_spans, self.new_spans = self.new_spans, {}
-        cache, old = self.new_spans, self.old_spans
-        ask = []
-        for c in set(chunks).difference(cache):
-            kept = old.get(c)
-            if kept is None:
-                ask.append(c)
-            else:
-                cache[c] = kept
-        if ask:
+        if not chunks:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        cache = self.span_cache.ready()
+        got = list(map(cache.__getitem__, chunks))
+        if cache.ask:
+            ask = list(cache.ask)
             for c, e in zip(ask, self.tokenizer.encode_batch(ask, add_special_tokens=False)):
                 o = e.offsets
                 cache[c] = (np.array([x[0] for x in o], "<u4").tobytes(), np.array([x[1] for x in o], "<u4").tobytes(), len(o))
-        if not chunks:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        starts, ends, counts = zip(*map(cache.__getitem__, chunks))
+            filled(got, chunks, cache)
+        starts, ends, counts = zip(*got)
         at = np.cumsum(np.fromiter(map(len, chunks), np.int64, len(chunks)))
         at = np.concatenate([[0], at[:-1]])
         base = np.repeat(at, np.array(counts, np.int64))
@@ -127,7 +171,9 @@ _ENCODERS: dict[str, ChunkEncoder] = {}
 
 
 def encoder(path: str) -> ChunkEncoder:
-    """One encoder for each Python worker and vocabulary."""
+    """The encoder of this Python worker; one vocabulary at a time."""
+    only_cache("encoder", _ENCODERS.clear)
     if path not in _ENCODERS:
+        _ENCODERS.clear()
         _ENCODERS[path] = ChunkEncoder(path)
     return _ENCODERS[path]

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_hash, even
+from .common import doc_hash, even, only_cache
 
 WORDS = re.compile(r"[^\W\d_]+")
 LONGEST = 5
@@ -42,7 +42,7 @@ def grams(word: str) -> list[str]:
 class Model:
     """Rows of log frequencies by language: known words first, then a bounded cache of unseen words."""
 
-    def __init__(self, words: list[tuple[str, str, int]], pieces: list[tuple[str, str, int]], cache_words: int = 400_000):
+    def __init__(self, words: list[tuple[str, str, int]], pieces: list[tuple[str, str, int]], cache_words: int = 250_000):
         self.langs = sorted({lang for _, lang, _ in words} | {lang for _, lang, _ in pieces})
         known, self.known = self._table(words, 0.05)
         grams_at, self.pieces = self._table(pieces, 0.5)
@@ -60,6 +60,10 @@ class Model:
         self.rows = np.concatenate([rows, np.zeros((room - len(rows), len(self.langs)))])
         self.at = dict(self.known)
 
+    def reset(self) -> None:
+        """Forget the unseen words."""
+        self.at = dict(self.known)
+
     def _table(self, entries, alpha: float) -> tuple[np.ndarray, dict[str, int]]:
         lang_at = {lang: i for i, lang in enumerate(self.langs)}
         at: dict[str, int] = {}
@@ -136,6 +140,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     @F.pandas_udf("lang_pred string, score double")
     def label(texts: pd.Series) -> pd.DataFrame:
         m = shared.value
+        only_cache("language", m.reset)
         return pd.DataFrame([m.predict(t) for t in texts], columns=["lang_pred", "score"])
 
     return docs.withColumn("_quirestone_lang", label(F.col("text").cast("string"))).select(
