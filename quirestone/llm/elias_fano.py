@@ -17,7 +17,7 @@ def encode(keys: np.ndarray) -> bytes:
     low_bits = max(0, (most // max(n, 1)).bit_length() - 1)
     high = (rest >> np.uint64(low_bits)).astype(np.int64)
     places = high + np.arange(n)
-    bits = np.zeros(-(-(int(places[-1]) + 2 if n else 1) // 64) * 64, np.uint8)
+    bits = np.zeros(-(-(int(places[-1]) + 2 if n else 1) // 64) * 64, np.uint8)  # at least one zero after the last key
     bits[places] = 1
     words = np.packbits(bits, bitorder="little").view("<u8")
     parts = []
@@ -79,19 +79,19 @@ class Sequence:
             return out
         h = high[act]
         want = rest[act].astype(np.uint64) & np.uint64((1 << self.low_bits) - 1)
-        at = np.zeros(len(act), np.int64)
+        lo, hi = np.zeros(len(act), np.int64), self._select_zero(h) - h  # the bucket's keys: ones between two zeros
         later = h > 0
-        at[later] = self._select_zero(h[later] - 1) + 1
-        i = at - h
-        while len(act):  # walk the bucket: a one in the high part for each of its keys
-            there = (self.high[np.minimum(at >> 6, len(self.high) - 1)] >> (at & 63).astype(np.uint64)) & np.uint64(1) != 0
-            there &= i < self.n
-            act, i, at, want = act[there], i[there], at[there], want[there]
-            if not len(act):
+        lo[later] = self._select_zero(h[later] - 1) + 1 - h[later]
+        end = hi.copy()
+        while True:  # successors of a context fill whole buckets, so they are halved, not walked
+            open_ = np.flatnonzero(lo < hi)
+            if not len(open_):
                 break
-            low = self._low(i)
-            hit = low == want
-            out[act[hit]] = i[hit]
-            go = low < want
-            act, i, at, want = act[go], i[go] + 1, at[go] + 1, want[go]
+            mid = (lo[open_] + hi[open_]) >> 1
+            less = self._low(mid) < want[open_]
+            lo[open_[less]] = mid[less] + 1
+            hi[open_[~less]] = mid[~less]
+        there = np.flatnonzero(lo < end)
+        hit = there[self._low(lo[there]) == want[there]]
+        out[act[hit]] = lo[hit]
         return out

@@ -35,16 +35,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .binary_records import file_system
-from .common import doc_hash, even, fresh_path, forget, materialize
+from .common import doc_hash, even, forget, fresh_path, materialize, only_cache
 from .elias_fano import Sequence, encode
+from .encoding import Generations, filled
 
 DISCOUNT = 0.75
 ALPHA = 0.1
 LEAST = 2
-SHARD_KEYS = 8_000_000
+SHARD_KEYS = 1_000_000
 #: One step of a stored log10 probability; 16 bits reach down to 1e-19.
 STEP = 3e-4
-FLUSH = 1_500_000
+#: Different words, and tokens, that a task gathers before it sends its counts on.
+WORDS, FLUSH = 1_000_000, 600_000
+#: Tokens that are scored together (a longer text is scored whole).
+SCORED = 300_000
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -57,7 +61,8 @@ def token_hash(word: bytes) -> int:
 
 
 #: The end token can't be a word: it holds a space.
-END_HASH = token_hash(b" end")
+END_TOKEN = b" end"
+END_HASH = token_hash(END_TOKEN)
 
 
 @dataclass
@@ -103,9 +108,8 @@ def _save(uri: str, name: str, data: bytes) -> None:
 class Reader:
     """Lookups in a trie; ``ids`` caches tokens, so the first level is asked once for each."""
 
-    def __init__(self, trie: Trie, cache: int = 400_000):
-        self.trie, self.most = trie, cache
-        self.cache: dict[bytes, int] = {}
+    def __init__(self, trie: Trie, cache: int = 300_000):
+        self.trie, self.cache = trie, Generations(cache)
         self.end = int(self.ranks(0, np.array([END_HASH]))[0]) if trie.levels else -1
 
     def _by_shard(self, level: int, keys: np.ndarray):
@@ -116,7 +120,13 @@ class Reader:
                 yield s, np.flatnonzero(shard == s)
 
     def ranks(self, level: int, keys: np.ndarray) -> np.ndarray:
-        """Rank of each key in a level, or -1."""
+        """Rank of each key in a level, or -1. Keys are looked up once each, in order, which memory likes."""
+        if len(keys) > 1000:
+            uniq, back = np.unique(keys, return_inverse=True)
+            return self._ranks(level, uniq)[back]
+        return self._ranks(level, keys)
+
+    def _ranks(self, level: int, keys: np.ndarray) -> np.ndarray:
         out = np.full(len(keys), -1, np.int64)
         lv = self.trie.levels[level]
         for s, at in self._by_shard(level, keys):
@@ -136,16 +146,14 @@ class Reader:
         return out
 
     def ids(self, words: list[bytes]) -> np.ndarray:
-        """The id of each word, -1 if training has none."""
-        cache = self.cache
-        got = list(map(cache.get, words))
-        if None in got:
-            if len(cache) > self.most:
-                cache.clear()
-            new = list({w for w in words if w not in cache})
+        """The id of each word, -1 if training has none; new words are looked up together."""
+        cache = self.cache.ready()
+        got = list(map(cache.__getitem__, words))
+        if cache.ask:
+            new = list(cache.ask)
             ids = self.ranks(0, np.array([token_hash(w) for w in new], np.int64)) if self.trie.levels else np.full(len(new), -1)
             cache.update(zip(new, ids.tolist()))
-            got = list(map(cache.__getitem__, words))
+            filled(got, words, cache)
         return np.array(got, np.int64)
 
     def base(self, ids: np.ndarray) -> np.ndarray:
@@ -154,31 +162,35 @@ class Reader:
         c = self.values(0, "count", ids, 0.0) if t.levels else np.zeros(len(ids))
         return np.log10((c + ALPHA) / (t.total + ALPHA * (t.vocabulary + 1)))
 
-    def probability(self, grams: np.ndarray) -> np.ndarray:
-        """log10 probability of the last id of each row given those before it (-2: no token there)."""
-        n, order = grams.shape
-        score = self.base(grams[:, -1])
-        if not self.trie.levels:
+    def _pairs(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Rank in level 2 of each pair of ids, -1 where one is missing or the pair is."""
+        out = np.full(len(a), -1, np.int64)
+        ok = np.flatnonzero((a >= 0) & (b >= 0))
+        out[ok] = self.ranks(1, a[ok] * self.trie.vocabulary + b[ok])
+        return out
+
+    def probability(self, grams: list[np.ndarray], runs: bool = False) -> np.ndarray:
+        """log10 probability of the ids in the last of 2 or 3 columns given those before (-2: no token there).
+
+        ``runs``: rows are texts' consecutive runs, so a row's context is the last pair of the row before."""
+        order, levels, word = len(grams), len(self.trie.levels), grams[-1]
+        score = self.base(word)
+        if levels < 2 or order < 2:
+            return score
+        pair = self._pairs(grams[-2], word)
+        score = self._with_context(score, 0, grams[-2], 1, pair)
+        if levels < 3 or order < 3:
             return score
-        v = self.trie.vocabulary
-        for size in range(2, min(order, len(self.trie.levels)) + 1):
-            part = grams[:, order - size :]
-            context = part[:, 0].copy()
-            for level in range(1, size - 1):
-                ok = (context >= 0) & (part[:, level] >= 0)
-                nxt = np.full(n, -1, np.int64)
-                nxt[ok] = self.ranks(level, context[ok] * v + part[ok, level])
-                context = nxt
-            on = np.flatnonzero(context >= 0)
-            left = -STEP * self.values(size - 2, "left", context[on], 0.0)
-            whole = score[on] + left
-            word = part[on, -1]
-            rank = np.full(len(on), -1, np.int64)
-            known = word >= 0
-            rank[known] = self.ranks(size - 1, context[on][known] * v + word[known])
-            stored = -STEP * self.values(size - 1, "prob", rank, 0.0)
-            score[on] = np.where(rank >= 0, stored, whole)
-        return score
+        context = np.where(grams[0] >= 0, np.concatenate([[-1], pair[:-1]]), -1) if runs else self._pairs(grams[0], grams[1])
+        rank = np.full(len(word), -1, np.int64)
+        ok = np.flatnonzero((context >= 0) & (word >= 0))
+        rank[ok] = self.ranks(2, context[ok] * self.trie.vocabulary + word[ok])
+        return self._with_context(score, 1, context, 2, rank)
+
+    def _with_context(self, shorter: np.ndarray, level: int, context: np.ndarray, above: int, rank: np.ndarray) -> np.ndarray:
+        """Stored probabilities where the n-gram is there, else the context's rest times the shorter one's."""
+        backed = shorter - STEP * self.values(level, "left", context, 0.0)
+        return np.where(rank >= 0, -STEP * self.values(above, "prob", rank, 0.0), backed)
 
 
 def _steps(p: np.ndarray) -> bytes:
@@ -190,6 +202,7 @@ _READERS: dict[str, Reader] = {}
 
 def _reader(trie: Trie) -> Reader:
     """One reader for each worker and state of a trie."""
+    only_cache("ngram", _READERS.clear)
     key = f"{trie.folder}:{len(trie.levels)}:{trie.total}:{sum(len(x.names) for x in trie.levels)}"
     if key not in _READERS:
         _READERS.clear()
@@ -209,7 +222,7 @@ def _word_counts(texts: DataFrame) -> DataFrame:
             for text in pdf["text"]:
                 seen.update(tokens(text))
                 ends += 1
-                if len(seen) > FLUSH:
+                if len(seen) > WORDS:
                     yield out()
                     seen.clear()
         yield out()
@@ -218,50 +231,83 @@ def _word_counts(texts: DataFrame) -> DataFrame:
     return texts.mapInPandas(work, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
-def _grams(reader: Reader, texts, size: int) -> np.ndarray:
-    """Ids of all runs of ``size`` tokens of some texts (rows x size), each text with its end token."""
-    parts = []
-    for text in texts:
-        ids = np.append(reader.ids(tokens(text)), reader.end)
-        parts.append(np.concatenate([np.full(size - 1, -2, np.int64), ids]))
-    if not parts:
-        return np.zeros((0, size), np.int64)
-    return np.concatenate([np.lib.stride_tricks.sliding_window_view(p, size) for p in parts])
+def _encoded(rows: DataFrame, trie: Trie) -> DataFrame:
+    """doc_id, held_out, ids of each row: its tokens' ids (-1: none), then the end token's, as 32 (or 64) bit integers.
 
+    Words are looked up once here; counting and scoring read the ids."""
+    kind = id_type(trie)
 
-def _gram_counts(texts: DataFrame, trie: Trie, size: int) -> DataFrame:
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        reader = _reader(trie)
+        for pdf in batches:
+            texts, out, lo = pdf["text"].tolist(), [], 0
+            while lo < len(texts):
+                words: list[bytes] = []
+                ends = []
+                while lo < len(texts) and len(words) < 100_000:
+                    words += tokens(texts[lo])
+                    words.append(END_TOKEN)
+                    ends.append(len(words))
+                    lo += 1
+                data = reader.ids(words).astype(kind)
+                out += [x.tobytes() for x in np.split(data, ends[:-1])]
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "held_out": pdf["held_out"], "ids": out})
+
+    return rows.mapInPandas(work, "doc_id long, held_out boolean, ids binary")
+
+
+def id_type(trie: Trie) -> str:
+    return "<i4" if trie.vocabulary < 2**31 else "<i8"
+
+
+def _runs(parts: list[bytes], kind: str, size: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """The ids of some texts one after the other, with the ids up to ``size - 1`` places before them (-2 before a
+    text), furthest first; and the length of each text."""
+    n = np.array([len(p) for p in parts], np.int64) // np.dtype(kind).itemsize
+    flat = np.frombuffer(b"".join(parts), kind).astype(np.int64)
+    place = np.arange(len(flat)) - np.repeat(np.cumsum(n) - n, n)
+    columns = []
+    for back in range(size - 1, 0, -1):
+        shifted = np.full(len(flat), -2, np.int64)
+        shifted[back:] = flat[: max(0, len(flat) - back)]
+        shifted[place < back] = -2
+        columns.append(shifted)
+    return [*columns, flat], n
+
+
+def _gram_counts(encoded: DataFrame, trie: Trie, size: int) -> DataFrame:
     """Counts of the keys of level ``size``, n-grams whose parts are in the level before."""
+    kind = id_type(trie)
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         reader = _reader(trie)
         v = trie.vocabulary
 
-        def counted(rows: list[np.ndarray]) -> pd.DataFrame:
-            g = np.concatenate(rows) if rows else np.zeros((0, size), np.int64)
-            g = g[(g >= 0).all(axis=1)]
+        def counted(parts: list[bytes]) -> pd.DataFrame:
+            runs, _ = _runs(parts, kind, size)
             if size == 2:
-                keys, n = np.unique(g[:, 0] * v + g[:, 1], return_counts=True)
+                ok = runs[0] >= 0
+                keys, n = np.unique(runs[0][ok] * v + runs[1][ok], return_counts=True)
                 return pd.DataFrame({"key": keys, "n": n})
-            # level 3: rank both bigrams once each
-            first, last = g[:, 0] * v + g[:, 1], g[:, 1] * v + g[:, 2]
-            uniq, back = np.unique(np.concatenate([first, last]), return_inverse=True)
-            rank = reader.ranks(1, uniq)[back]
-            a, b = rank[: len(g)], rank[len(g) :]
-            ok = (a >= 0) & (b >= 0)
-            keys, n = np.unique(a[ok] * v + g[ok, 2], return_counts=True)
+            # the first pair of a run is the last pair of the run before, so each place's pair is ranked once
+            pair = reader._pairs(runs[1], runs[2])
+            context = np.where(runs[0] >= 0, np.concatenate([[-1], pair[:-1]]), -1)
+            ok = (context >= 0) & (pair >= 0)
+            keys, n = np.unique(context[ok] * v + runs[2][ok], return_counts=True)
             return pd.DataFrame({"key": keys, "n": n})
 
-        rows, held = [], 0
+        parts, held = [], 0
         for pdf in batches:
-            for lo in range(0, len(pdf), 256):
-                rows.append(_grams(reader, pdf["text"].iloc[lo : lo + 256], size))
-                held += len(rows[-1])
+            for p in pdf["ids"]:
+                parts.append(p)
+                held += len(p) // 4
                 if held > FLUSH:
-                    yield counted(rows)
-                    rows, held = [], 0
-        yield counted(rows)
+                    yield counted(parts)
+                    parts, held = [], 0
+        if parts:
+            yield counted(parts)
 
-    return texts.mapInPandas(work, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    return encoded.mapInPandas(work, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
 def _sharded(entries: DataFrame, there: int) -> tuple[DataFrame, int]:
@@ -323,19 +369,21 @@ def _write_left(trie: Trie, level: int, kept: DataFrame, counts) -> None:
     materialize(taken.union(every).groupBy("shard").applyInPandas(work, "shard int"), "lm-left")
 
 
-def train(docs: DataFrame, order: int = 3) -> Trie:
-    """A trie over the texts of ``docs(text)``."""
-    spark = docs.sparkSession
+def train(rows: DataFrame, order: int = 3) -> tuple[Trie, DataFrame]:
+    """A trie of up to three levels over the texts of ``rows(doc_id, text, held_out)`` that aren't held out, and all rows as ids."""
+    if order not in (2, 3):
+        raise ValueError("order must be 2 or 3")
+    spark = rows.sparkSession
     trie = Trie(fresh_path(spark, "lm-trie"))
-    words = materialize(_word_counts(docs), "lm-words")
+    words = materialize(_word_counts(rows.filter("not held_out").select("text")), "lm-words")
     got = words.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
     trie.total, trie.vocabulary = int(got["n"] or 0), int(got["v"])
-    if not trie.total:
-        return trie
-    trie.levels.append(_write_level(words, trie.vocabulary, trie, lambda keys, n: {"count": n.astype("<u4").tobytes()}))
+    if trie.total:
+        trie.levels.append(_write_level(words, trie.vocabulary, trie, lambda keys, n: {"count": n.astype("<u4").tobytes()}))
     forget(spark, words)
-    for size in range(2, order + 1):
-        kept = materialize(_gram_counts(docs, trie, size).filter(F.col("n") >= LEAST), "lm-grams")
+    encoded = materialize(_encoded(rows, trie), "lm-ids")
+    for size in range(2, order + 1 if trie.total else 2):
+        kept = materialize(_gram_counts(encoded.filter("not held_out").select("ids"), trie, size).filter(F.col("n") >= LEAST), "lm-grams")
         there = kept.count()
         if not there:
             break
@@ -354,13 +402,13 @@ def train(docs: DataFrame, order: int = 3) -> Trie:
             if size == 2:
                 shorter = reader.base(word)
             else:
-                shorter = reader.probability(np.stack([_second_of(reader, context), word], axis=1))
+                shorter = reader.probability([_second_of(reader, context), word])
             p = (n - DISCOUNT) / total + left * 10**shorter
             return {"prob": _steps(p), "count": np.minimum(n, 2**32 - 1).astype("<u4").tobytes(), "second": word.astype("<u4" if v < 2**32 else "<u8").tobytes()}
 
         trie.levels.append(_write_level(kept, there, trie, value))
         forget(spark, kept)
-    return trie
+    return trie, encoded
 
 
 def _second_of(reader: Reader, ranks: np.ndarray) -> np.ndarray:
@@ -379,24 +427,25 @@ def scored(docs: DataFrame, order: int = 3, folds: int = 10) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for each row."""
     rows = even(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")))
     rows = rows.withColumn("held_out", doc_hash("doc_id") % folds == 0)
-    trie = train(rows.filter("not held_out").select("text"), order)
+    trie, encoded = train(rows, order)
+    kind = id_type(trie)
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         reader = _reader(trie)
         for pdf in batches:
-            for lo in range(0, len(pdf), 512):
-                part = pdf.iloc[lo : lo + 512]
-                sets = [np.append(reader.ids(tokens(t)), reader.end) for t in part["text"]]
-                n = np.array([len(s) for s in sets])
-                ids = np.concatenate(sets)
-                known = ids >= 0
-                doc = np.repeat(np.arange(len(sets)), n)
-                padded = [np.concatenate([np.full(order - 1, -2, np.int64), s]) for s in sets]
-                grams = np.concatenate([np.lib.stride_tricks.sliding_window_view(p, order) for p in padded])
+            lo = 0
+            sizes = pdf["ids"].map(len).to_numpy() // np.dtype(kind).itemsize
+            while lo < len(pdf):
+                hi = max(lo + 1, lo + int(np.searchsorted(np.cumsum(sizes[lo:]), SCORED)))
+                part = pdf.iloc[lo:hi]
+                runs, n = _runs(part["ids"].tolist(), kind, order)
+                doc = np.repeat(np.arange(len(part)), n)
+                base, score = reader.base(runs[-1]), reader.probability(runs, runs=True)
                 yield pd.DataFrame({
                     "doc_id": part["doc_id"].to_numpy(), "held_out": part["held_out"].to_numpy(), "n_tokens": n,
-                    "n_known": np.bincount(doc, known, len(sets)).astype(np.int64), "train_tokens": trie.total,
-                    "base_score": np.bincount(doc, reader.base(ids), len(sets)), "score": np.bincount(doc, reader.probability(grams), len(sets)),
+                    "n_known": np.bincount(doc, runs[-1] >= 0, len(part)).astype(np.int64), "train_tokens": trie.total,
+                    "base_score": np.bincount(doc, base, len(part)), "score": np.bincount(doc, score, len(part)),
                 })
+                lo = hi
 
-    return rows.mapInPandas(work, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return encoded.mapInPandas(work, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
