@@ -12,8 +12,9 @@ Documents with the same words form a class, represented by its smallest id. The
 (25 of 5 rows: a pair at similarity 0.8 is missed with probability 5e-5) make buckets. Each bucket is
 linked as a star to its smallest member, never as all pairs; candidate pairs are sieved by their
 signatures and then verified exactly on whole texts. Where a bucket still spans several components, its
-members are compared with the members of other components by signature, tile by tile, and each member's
-nearest in every other component is verified too, so no link hides behind an unlucky centre.
+members are compared with the members of other components by signature, tile by tile. Each member's
+nearest in every other component is verified first, then, under the components by then, the next nearest,
+until every pair of a bucket that passes the sieve is verified or in one component.
 
 Defined cases: null text is empty; texts without words form one class; rows that repeat are members of
 their class; null ids stay null and sort before all others.
@@ -202,18 +203,19 @@ def text_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
 
 
 def _verified(pairs: DataFrame, sigs: DataFrame, texts: DataFrame) -> DataFrame:
-    """``pairs(a, b)`` that pass the sieve and then reach the similarity exactly."""
+    """``pairs(a, b)`` that pass the sieve, with ``linked``: whether they reach the similarity exactly."""
     left = sigs.select(F.col("id").alias("a"), F.col("sig").alias("sig_a"))
     right = sigs.select(F.col("id").alias("b"), F.col("sig").alias("sig_b"))
     likely = pairs.join(left, "a").join(right, "b").filter(agreement("sig_a", "sig_b") >= SIEVE).select("a", "b")
     likely = materialize(likely, "near-likely")
     left = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
-    return materialize(likely.join(right, "b").join(left, "a").filter(text_similarity("text_b", "text_a") >= SIMILARITY).select("a", "b"), "near-links")
+    return materialize(likely.join(right, "b").join(left, "a").select("a", "b", (text_similarity("text_b", "text_a") >= SIMILARITY).alias("linked")), "near-links")
 
 
-def _across(members: DataFrame) -> DataFrame:
-    """Pairs of members of one bucket in different components: for each member and other component, the nearest by signature."""
+def _across(members: DataFrame, most: int) -> DataFrame:
+    """Pairs of members of one bucket in different components: for each member and other component, the ``most``
+    nearest by signature. ``cut`` says that the member has further partners there that pass the sieve."""
     tiles = F.ceil(F.col("members") / TILE).cast("int")
     mine = F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int")
     m = members.withColumn("tiles", tiles).withColumn("tile", mine)
@@ -234,12 +236,42 @@ def _across(members: DataFrame) -> DataFrame:
             at = np.flatnonzero(other)
             near = (sig[at] == sig[i]).mean(axis=1)
             at, near = at[near >= SIEVE], near[near >= SIEVE]
-            order = np.lexsort((ids[at], -near))
-            _, first = np.unique(comp[at[order]], return_index=True)
-            out += [(max(ids[i], ids[j]), min(ids[i], ids[j])) for j in at[order[first]]]
-        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
-
-    return m.groupBy("h", "t0", "t1").applyInPandas(work, "a long, b long").distinct()
+            order = np.lexsort((ids[at], -near, comp[at]))
+            at = at[order]
+            _, first, n = np.unique(comp[at], return_index=True, return_counts=True)
+            place = np.arange(len(at)) - np.repeat(first, n)
+            cut = bool((n > most).any())
+            out += [(pdf["h"].iat[0], max(ids[i], ids[j]), min(ids[i], ids[j]), cut) for j in at[place < most]]
+        return pd.DataFrame(out, columns=["h", "a", "b", "cut"]).astype({"h": "int64", "a": "int64", "b": "int64", "cut": "bool"})
+
+    return m.groupBy("h", "t0", "t1").applyInPandas(work, "h long, a long, b long, cut boolean")
+
+
+def _settled(members: DataFrame, sigs: DataFrame, texts: DataFrame, tried: DataFrame) -> DataFrame:
+    """(node, component) once no pair of ``members(h, id, members)`` that passes the sieve is both apart and untried.
+
+    ``tried(a, b, linked)`` are the verified pairs. The first round tries each member's nearest in every
+    other component; buckets in which that left partners out come again, under the components by then and
+    with more partners a member, until nothing is left out."""
+    found = materialize(components(tried.filter("linked").select("a", "b")), "near-found")
+    most = 1
+    while True:
+        # buckets that still hold several components; signatures travel for their members only
+        placed = members.join(found.withColumnRenamed("node", "id"), "id", "left").select("h", "id", "members", F.coalesce("component", "id").alias("component"))
+        placed = materialize(placed, "near-placed")
+        several = materialize(placed.groupBy("h").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).filter("c0 <> c1").select("h"), "near-open")
+        unsettled = materialize(placed.join(several, "h"), "near-unsettled")
+        across = materialize(_across(unsettled.join(sigs, "id"), most), "near-across")
+        fresh = across.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
+        more = _verified(fresh, sigs, texts)
+        if more.filter("linked").head(1):
+            found = materialize(components(tried.union(more).filter("linked").select("a", "b")), "near-found")
+        tried = tried.union(more)
+        again = across.filter("cut").select("h").distinct()
+        if not again.head(1):
+            return found
+        members = materialize(unsettled.select("h", "id", "members").join(again, "h"), "near-again")
+        most *= 16
 
 
 def groups(docs: DataFrame) -> DataFrame:
@@ -256,18 +288,9 @@ def groups(docs: DataFrame) -> DataFrame:
     near = Window.partitionBy("a").orderBy("b")
     stars = members.filter("id <> centre").select(F.col("id").alias("a"), F.col("centre").alias("b")).distinct().withColumn("n", F.row_number().over(near))
     stars = materialize(stars.filter(F.col("n") <= CENTRES).select("a", "b"), "near-stars")
-    links = _verified(stars, sigs, rows)
-    found = materialize(components(links), "near-found")
+    tried = _verified(stars, sigs, rows)
     forget(spark, stars)
-
-    # buckets that still hold several components; signatures travel for their members only
-    placed = materialize(members.join(found.withColumnRenamed("node", "id"), "id", "left").select("h", "id", "members", F.coalesce("component", "id").alias("component")), "near-placed")
-    several = materialize(placed.groupBy("h").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).filter("c0 <> c1").select("h"), "near-open")
-    unsettled = materialize(placed.join(several, "h"), "near-unsettled")
-    across = materialize(_across(unsettled.join(sigs, "id")), "near-across")
-    more = _verified(across, sigs, rows)
-    if more.head(1):
-        found = materialize(components(links.union(more)), "near-found")
+    found = _settled(members.select("h", "id", "members"), sigs, rows, tried)
 
     labelled = materialize(
         classes.select("key", "id").join(found.withColumnRenamed("node", "id"), "id", "left").select("key", F.col("id").alias("class_id"), F.coalesce("component", "id").alias("component_id")),
