@@ -157,6 +157,14 @@ def vector_topk(spark, sf):
     return got.select("query_id", "id", F.col("rank").cast("long").alias("rank"), F.round("score", 6).alias("score"))
 
 
+@query()
+def vector_topk_twentieth(spark, sf):
+    """Every row whose id is divisible by 20 asks; the SQL of all pairs is too slow for that, tests hold it against brute force."""
+    e = table(spark, sf, "embeddings")
+    got = R.vector_top(e.select(F.col("vec_id").alias("id"), F.col("embedding").alias("v")), e.filter("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q")), 5)
+    return got.select("query_id", "id", F.col("rank").cast("long").alias("rank"), F.round("score", 6).alias("score"))
+
+
 # ---- text functions and ids
 
 
