@@ -1,7 +1,10 @@
 """Secret scanning: fixed patterns, plus a randomness test battery over long token runs.
 
-A run of at least ``least`` characters from ``[A-Za-z0-9+/_=-]`` is a candidate. Its encoding is
-inferred as the smallest of ten alphabets that holds all its characters. Three statistics are taken:
+A run of at least ``least`` characters from ``[A-Za-z0-9+/_-]``, with ``=`` only as padding at its end, is
+a candidate. Its encoding is inferred as the smallest of the alphabets that holds all its characters. A run
+that none holds is read in three ways, as parts between ``+ /``, between ``- _`` and between all four; the
+parts are candidates, at three times their p-value; parts that overlap become one if each is below ``q``,
+otherwise the one of least p-value stays. Three statistics are taken:
 chi-squared uniformity over that alphabet, the number of runs of character classes, and the lag-1
 serial correlation of symbol positions. Uniformity and runs are each turned into a p-value under the
 hypothesis "ordinary text" (letters as uneven as prose, rare changes of class); Fisher's method joins
@@ -36,7 +39,9 @@ HEX = re.compile(r"[0-9a-f]+")
 KINDS = ("assign", "access", "hex", "random")
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 
-RUN = re.compile(r"[A-Za-z0-9+/_=-]+")
+RUN = re.compile(r"[A-Za-z0-9+/_-]+=*")
+#: Parts of a run that no alphabet holds: base64url, base64 and base62 ones.
+PARTS = (re.compile(r"[A-Za-z0-9_-]+=*"), re.compile(r"[A-Za-z0-9+/]+=*"), re.compile(r"[A-Za-z0-9]+=*"))
 HINTS = ("passw", "secret", "token", "api")
 
 _DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -129,15 +134,30 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(out, key=lambda x: (x[0], KINDS.index(x[2])))
 
 
+def tested(text: str, start: int, end: int, least: int, q: float) -> list[tuple[int, int, float]]:
+    """(start, end, p) of a run, or of its parts where no alphabet holds the run."""
+    run = text[start:end]
+    if infer_encoding(run.rstrip("=")) is not None:
+        p = battery(run)
+        return [] if p is None else [(start, end, p)]
+    parts = {m.span() for way in PARTS for m in way.finditer(run) if m.end() - m.start() >= least}
+    ranked = sorted((min(1.0, len(PARTS) * p), start + s, start + e) for s, e in parts if (p := battery(run[s:e])) is not None)
+    out: list[tuple[int, int, float]] = []
+    for p, s, e in ranked:
+        met = [x for x in out if x[0] < e and s < x[1]]
+        if met and p > q:
+            continue
+        out = [x for x in out if x not in met] + [(min(s, *(x[0] for x in met)), max(e, *(x[1] for x in met)), min(x[2] for x in met)) if met else (s, e, p)]
+    return sorted(out)
+
+
 def random_spans(text: str, base: list[tuple[int, int, str]], least: int = 20, q: float = 1e-3) -> list[tuple[int, int, str]]:
     if not any(len(c) >= least for c in text.split()):
         return []
     found = []
     for m in RUN.finditer(text):
         if m.end() - m.start() >= least and not any(s < m.end() and m.start() < e for s, e, _ in base):
-            p = battery(m[0])
-            if p is not None:
-                found.append((m.start(), m.end(), p))
+            found += tested(text, m.start(), m.end(), least, q)
     return [(s, e, "random") for s, e in discoveries(found, q)]
 
 
