@@ -8,16 +8,18 @@ for each of ``k`` coordinates; the bound is doubled for documents with an empty
 agree in a coordinate with probability equal to their weighted Jaccard similarity, in expected time
 ``elements + k log k``.
 
-Documents with the same words form a class, represented by its smallest id. The representatives' bands
+Documents with the same words form a class, which is the graph's node and is represented by its smallest
+id; ids only choose, so texts under a null or repeated id stay apart. The representatives' bands
 (25 of 5 rows: a pair at similarity 0.8 is missed with probability 5e-5) make buckets. Each bucket is
-linked as a star to its smallest member, never as all pairs; candidate pairs are sieved by their
+linked as a star to its smallest node, never as all pairs; candidate pairs are sieved by their
 signatures and then verified exactly on whole texts. Where a bucket still spans several components, its
 members are compared with the members of other components by signature, tile by tile. Each member's
 nearest in every other component is verified first, then, under the components by then, the next nearest,
 until every pair of a bucket that passes the sieve is verified or in one component.
 
 Defined cases: null text is empty; texts without words form one class; rows that repeat are members of
-their class; null ids stay null and sort before all others.
+their class; null ids stay null and sort before all others; of one id's texts in a component that is
+named by it, the one with the smallest hash is kept.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -153,7 +155,7 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
 
 
 def sketch(docs: DataFrame) -> DataFrame:
-    """id, key (hash of the words), sig (null without words), bands for each row."""
+    """id, mark, key (hash of the words), sig (null without words), bands for each row."""
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         only_cache("minhash", _WORDS.clear)
@@ -171,13 +173,13 @@ def sketch(docs: DataFrame) -> DataFrame:
                 sig = signatures(sets)
                 bands = band_keys(sig)
                 yield pd.DataFrame({
-                    "id": pdf["id"].to_numpy()[lo:hi], "key": keys,
+                    "id": pdf["id"].to_numpy()[lo:hi], "mark": pdf["mark"].to_numpy()[lo:hi], "key": keys,
                     "sig": [sig[i].tobytes() if len(s) else None for i, s in enumerate(sets)],
                     "bands": [bands[i] if len(s) else None for i, s in enumerate(sets)],
                 })
                 lo = hi
 
-    return even(docs).mapInPandas(work, "id long, key binary, sig binary, bands array<long>")
+    return even(docs).mapInPandas(work, "id long, mark binary, key binary, sig binary, bands array<long>")
 
 
 @F.pandas_udf(DoubleType())
@@ -274,41 +276,64 @@ def _settled(members: DataFrame, sigs: DataFrame, texts: DataFrame, tried: DataF
         most *= 16
 
 
-def groups(docs: DataFrame) -> DataFrame:
-    """doc_id, class_id (same words), component_id (reachable by links), kept for each row."""
+def _mark(text: str) -> Column:
+    """A hash of a text; with the id it names a row, as ids may be null or repeat."""
+    return F.unhex(F.md5(F.concat(F.when(F.col(text).isNull(), "n").otherwise("t"), F.coalesce(F.col(text).cast("string"), F.lit(""))).cast("binary")))
+
+
+def _grouped(docs: DataFrame) -> DataFrame:
+    """id (NO_ID if null), mark, class_id, component_id, kept for each row."""
     spark = docs.sparkSession
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.col("text").cast("string").alias("text"))
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.col("text").cast("string").alias("text")).withColumn("mark", _mark("text"))
     sketched = materialize(sketch(rows), "near-sketch")
-    classes = materialize(sketched.groupBy("key").agg(F.min(F.struct("id", "sig", "bands")).alias("x")).select("key", "x.*"), "near-classes")
-    sigs = classes.filter("sig is not null").select("id", "sig")
-    banded = classes.filter("sig is not null").select("id", F.explode("bands").alias("h"))
+    # a class is a node of its own number; its row of the smallest id stands for it
+    classes = sketched.groupBy("key").agg(F.min(F.struct("id", "mark", "sig", "bands")).alias("x"))
+    classes = materialize(classes.select("key", F.monotonically_increasing_id().alias("node"), F.col("x.id").alias("class_id"), "x.mark", "x.sig", "x.bands"), "near-classes")
+    sigs = classes.filter("sig is not null").select(F.col("node").alias("id"), "sig")
+    banded = classes.filter("sig is not null").select(F.col("node").alias("id"), F.explode("bands").alias("h"))
     buckets = materialize(banded.groupBy("h").agg(F.count(F.lit(1)).alias("members"), F.min("id").alias("centre")).filter("members > 1"), "near-buckets")
     members = materialize(banded.join(buckets, "h").select("h", "id", "members", "centre"), "near-members")
+    # one text for each node that is in a bucket, however often its row repeats
+    wanted = classes.join(members.select(F.col("id").alias("node")).distinct(), "node", "left_semi").select("node", F.col("class_id").alias("id"), "mark")
+    once = Window.partitionBy("node").orderBy("mark")
+    texts = rows.join(wanted, ["id", "mark"]).withColumn("n", F.row_number().over(once)).filter("n = 1").select(F.col("node").alias("id"), "text")
+    texts = materialize(texts, "near-texts")
     # a representative first tries its few smallest centres, which near copies share; what that leaves apart is settled below
     near = Window.partitionBy("a").orderBy("b")
     stars = members.filter("id <> centre").select(F.col("id").alias("a"), F.col("centre").alias("b")).distinct().withColumn("n", F.row_number().over(near))
     stars = materialize(stars.filter(F.col("n") <= CENTRES).select("a", "b"), "near-stars")
-    tried = _verified(stars, sigs, rows)
+    tried = _verified(stars, sigs, texts)
     forget(spark, stars)
-    found = _settled(members.select("h", "id", "members"), sigs, rows, tried)
+    found = _settled(members.select("h", "id", "members"), sigs, texts, tried)
 
+    # the component's row of the smallest id names it and is kept
+    linked = materialize(classes.select("node", "class_id", "mark").join(found, "node"), "near-linked")
+    best = linked.groupBy("component").agg(F.min(F.struct("class_id", "mark")).alias("best"))
+    best = linked.select("node", "component").join(best, "component").select("node", "best")
+    own = F.struct("class_id", "mark")
     labelled = materialize(
-        classes.select("key", "id").join(found.withColumnRenamed("node", "id"), "id", "left").select("key", F.col("id").alias("class_id"), F.coalesce("component", "id").alias("component_id")),
+        classes.join(best, "node", "left").select("key", "class_id", F.coalesce("best", own).alias("best")).select("key", "class_id", F.col("best.class_id").alias("component_id"), F.col("best.mark").alias("kept_mark")),
         "near-labels",
     )
-    out = sketched.select("id", "key").join(labelled, "key")
+    out = sketched.select("id", "mark", "key").join(labelled, "key")
+    return out.select("id", "mark", "class_id", "component_id", ((F.col("id") == F.col("component_id")) & (F.col("mark") == F.col("kept_mark"))).alias("kept"))
+
+
+def groups(docs: DataFrame) -> DataFrame:
+    """doc_id, class_id (same words), component_id (reachable by links), kept for each row."""
 
     def real(c: str):
         return F.when(F.col(c) != NO_ID, F.col(c))
 
-    return out.select(real("id").alias("doc_id"), real("class_id").alias("class_id"), real("component_id").alias("component_id"), (F.col("id") == F.col("component_id")).alias("kept"))
+    return _grouped(docs).select(real("id").alias("doc_id"), real("class_id").alias("class_id"), real("component_id").alias("component_id"), "kept")
 
 
 def deduplicated_documents(docs: DataFrame) -> DataFrame:
     """One document of each group, with all its columns: the one with the smallest id (one row, if rows repeat it)."""
     names = docs.columns
-    keep = groups(docs).filter("kept").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_keep_id")).distinct()
-    own = docs.select(*[F.col(c).alias(f"in_{c}") for c in names]).withColumn("_keep_id", F.coalesce(F.col("in_doc_id").cast("long"), F.lit(NO_ID)))
-    joined = own.join(keep, "_keep_id", "left_semi")
-    first = Window.partitionBy("_keep_id").orderBy(F.xxhash64("in_text"))
+    keep = _grouped(docs).filter("kept").select(F.col("id").alias("_keep_id"), F.col("mark").alias("_keep_mark")).distinct()
+    own = docs.select(*[F.col(c).alias(f"in_{c}") for c in names])
+    own = own.withColumn("_keep_id", F.coalesce(F.col("in_doc_id").cast("long"), F.lit(NO_ID))).withColumn("_keep_mark", _mark("in_text"))
+    joined = own.join(keep, ["_keep_id", "_keep_mark"], "left_semi")
+    first = Window.partitionBy("_keep_id", "_keep_mark").orderBy(F.xxhash64("in_text"))
     return joined.withColumn("_n", F.row_number().over(first)).filter("_n = 1").select(*[F.col(f"in_{c}").alias(c) for c in names])

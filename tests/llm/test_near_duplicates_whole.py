@@ -42,3 +42,14 @@ def test_partners_after_the_nearest_are_tried(spark):
         want |= {100 * c + i: 100 * c + x for i, x in enumerate(brute(texts))}
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert {r["doc_id"]: r["component_id"] for r in minhash.groups(docs).collect()} == want
+
+
+def test_texts_under_null_and_repeated_ids_are_nodes_of_their_own(spark):
+    a, b, c, d = (cluster(seed, 1)[0] for seed in (101, 102, 103, 104))
+    near = lambda t: "changed " + t.split(" ", 1)[1]
+    rows = [(None, a), (None, b), (None, b), (5, near(a)), (6, near(b)), (7, c), (7, d), (7, d), (8, near(d)), (None, None), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {(r["doc_id"], r["component_id"], r["kept"]) for r in minhash.groups(docs).collect()}
+    assert got == {(None, None, True), (5, None, False), (6, None, False), (7, 7, True), (8, 7, False)}
+    kept = [(r["doc_id"], r["text"]) for r in minhash.deduplicated_documents(docs).collect()]
+    assert sorted(kept, key=repr) == sorted([(None, a), (None, b), (7, c), (7, d), (None, None)], key=repr)
