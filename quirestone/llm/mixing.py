@@ -7,7 +7,8 @@ document of that pass gives only the words still missing, so a source meets its
 The exact block quotas are then split among the output shards, from the root of a binary tree down:
 at each node the left child's share of every source is drawn from the multivariate hypergeometric
 distribution given by both children's capacities. A shard's draws of a source are disjoint, contiguous
-runs of the permuted blocks. Inside a shard, order by ``local_key`` gives the local shuffle.
+runs of the permuted blocks. A draw's place, a hash of the document's ``local_key``, its text and the
+number of the draw, orders a shard: the local shuffle, in which the mix's documents are laid out.
 
 Only DataFrame functions are used. No window holds a whole source: prefix sums over blocks go through
 super-blocks, and documents meet only their own block.
@@ -130,7 +131,7 @@ def _sized(docs: DataFrame, carry: list[str]) -> DataFrame:
     """Rows with source key, size and permutation key; ``carry`` keeps the named input columns as ``in_*``."""
     d = docs.select(
         F.col("doc_id").alias("doc_id"), F.col("source").cast("string").alias("source"),
-        F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD)).cast("long").alias("size"),
+        F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD)).cast("long").alias("size"), F.xxhash64("text").alias("body"),
         *[F.col(c).alias(f"in_{c}") for c in carry],
     )
     text = F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce(F.col("source"), F.lit("")), F.col("size").cast("string"))
@@ -143,10 +144,11 @@ def _blocked(d: DataFrame, per_source: DataFrame, n_sources: int) -> DataFrame:
 
 
 def mix(docs: DataFrame, weights=(3, 1, 2), share: float = 1.5, most: float = 2.0, shard_levels: int = 4, block_docs: int = 64, seed: int = 7, carry: tuple = ()) -> DataFrame:
-    """One row per input row: doc_id, source, size, source_size, target, taken, block, shards, local_key and ``in_*``.
+    """One row per input row: doc_id, source, size, source_size, target, taken, block, shards, places, draws, local_key and ``in_*``.
 
     ``taken`` is the number of words the mix takes, repeats counted; ``shards`` holds the output shard
-    of each draw of the document's block that takes words from it, whole passes first."""
+    of each draw of the document's block that takes words from it, whole passes first, and ``places`` the
+    draw's place there. ``draws`` are both, with those of whole passes also for documents of size 0."""
     sized = materialize(_sized(docs, []), "mix-sizes")
     per_source = materialize(
         sized.groupBy("skey", "source").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("size").alias("source_size")).withColumn("n_blocks", F.ceil(F.col("n_docs") / block_docs).cast("long")),
@@ -195,26 +197,39 @@ def mix(docs: DataFrame, weights=(3, 1, 2), share: float = 1.5, most: float = 2.
     inside = Window.partitionBy("skey", "block").orderBy("key", "size").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("in_block", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(blocks, ["skey", "block"])
     partial = F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("first_word") - F.col("in_block"))).cast("long")
-    return rows.withColumn("partial", partial).select(
+    rows = rows.withColumn("partial", partial).withColumn("local_key", F.md5(F.concat_ws("|", F.lit(str(seed)), "key").cast("binary")))
+    to = F.when(F.col("partial") > 0, F.concat("full_shards", F.array("last_shard"))).otherwise(F.col("full_shards"))
+    draws = F.transform(to, lambda s, i: F.struct(s.alias("shard"), F.xxhash64("local_key", "body", i).alias("place"), (i >= F.col("passes")).alias("partial")))
+    rows = rows.withColumn("draws", draws)
+
+    def taking(field: str, kind: str) -> Column:
+        return F.when(F.col("size") == 0, F.array().cast(kind)).otherwise(F.col("draws")[field])
+
+    return rows.select(
         "doc_id", "source", "size", "source_size", "target", (F.col("passes") * F.col("size") + F.col("partial")).alias("taken"), "passes", "partial", "block",
-        F.when(F.col("size") == 0, F.array().cast("array<int>")).when(F.col("partial") > 0, F.concat("full_shards", F.array("last_shard"))).otherwise(F.col("full_shards")).alias("shards"),
-        F.md5(F.concat_ws("|", F.lit(str(seed)), "key").cast("binary")).alias("local_key"), *[f"in_{c}" for c in carry],
+        taking("shard", "array<int>").alias("shards"), taking("place", "array<bigint>").alias("places"), "draws", "local_key", *[f"in_{c}" for c in carry],
     )
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The mix as rows of documents: each whole draw repeats its row, a partial one keeps the leading words."""
+    """The mix as rows of documents: each whole draw repeats its row, a partial one keeps the leading words.
+
+    Partitions are consecutive stretches of the shards, each in order of its places; large shards have several."""
     names = docs.columns
     got = mix(docs, carry=tuple(names), **options)
     cut = F.when(
         F.col("x.partial") & (F.col("partial") < F.col("size")),
         _leading_words(F.col("in_text"), F.col("partial")),
     ).otherwise(F.col("in_text"))
-    copies = F.concat(
-        F.when(F.col("passes") > 0, F.transform(F.sequence(F.lit(1), F.greatest(F.col("passes"), F.lit(1)).cast("int")), lambda i: F.struct(F.lit(False).alias("partial"), i.alias("copy")))).otherwise(F.array().cast("array<struct<partial:boolean,copy:int>>")),
-        F.when(F.col("partial") > 0, F.array(F.struct(F.lit(True).alias("partial"), (F.col("passes") + 1).cast("int").alias("copy")))).otherwise(F.array().cast("array<struct<partial:boolean,copy:int>>")),
+    rows = got.select("*", F.explode("draws").alias("x")).select(
+        F.col("x.shard").alias("shard"), F.col("x.place").alias("place"),
+        *[(cut if c == "text" else F.length(cut).cast("long") if c == "n_chars" else F.col(f"in_{c}")).alias(f"in_{c}") for c in names],
     )
-    return got.select("*", F.explode(copies).alias("x")).select(*[(cut if c == "text" else F.length(cut).cast("long") if c == "n_chars" else F.col(f"in_{c}")).alias(c) for c in names])
+    shards = 1 << options.get("shard_levels", 4)
+    each = max(1, -(-int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) // shards))
+    part = F.floor((F.shiftright("place", 32) + (1 << 31)) * each / F.lit(1 << 32))  # the place's stretch of its shard
+    laid = rows.repartitionById(shards * each, (F.col("shard") * each + part).cast("int")).sortWithinPartitions("shard", "place")
+    return laid.select(*[F.col(f"in_{c}").alias(c) for c in names])
 
 
 def _leading_words(text: Column, n: Column) -> Column:

@@ -25,7 +25,7 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(_docs(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "source", "shards")
+    return mixing.mix(_docs(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "source", "shards", "places")
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
