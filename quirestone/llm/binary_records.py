@@ -7,9 +7,9 @@ and the number of token ids before it in the file (u64 each), so records can be
 The mask rotates a crc right by 15 bits and adds 0xA282EAD8, as record formats do that may be nested.
 
 Documents are range-partitioned by id on the raw table, sorted in each partition and written by the task
-that encodes them; each attempt writes files of its own names, and only those named by the attempt that
-Spark accepts are in the manifest, so a repeated or speculative task does no harm. The reader checks every
-length, checksum and index entry.
+that encodes them, which begins another file after ``ROLL`` bytes; each attempt writes files of its own names, and only those named by the attempt that
+Spark accepts are in the manifest, so a repeated or speculative task does no harm. The reader seeks by the
+index, ``CHUNK`` bytes at a time, and checks every length, checksum and index entry.
 
 Defined cases: null or empty text is the end id alone; null ids come first; rows that repeat an id are
 ordered by a hash of their text; an empty table gives no file and an empty result.
@@ -28,10 +28,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fresh_path, materialize, slots
+from .common import fresh_path, long_ids, materialize, slots, texts_by_id
 from .encoding import encoder
 
 MASK_DELTA = 0xA282EAD8
+#: Bytes after which a task begins its next file, and that a reader takes at once.
+ROLL, CHUNK = 256 << 20, 16 << 20
 
 
 def masked(data: bytes) -> int:
@@ -68,63 +70,81 @@ def file_system(uri: str):
     return fs.LocalFileSystem(), uri
 
 
-def write(docs: DataFrame, path: str, end_id: int, folder: str) -> DataFrame:
-    """Write shards under ``folder``; the manifest: shard, name, n_records, n_tokens in the order of ids."""
+def write(docs: DataFrame, path: str, end_id: int, folder: str, roll: int = ROLL) -> DataFrame:
+    """Write files of about ``roll`` bytes under ``folder``; the manifest: shard, part, name, n_records, n_tokens in the order of ids."""
     end = end_id.to_bytes(4, "little")
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc = encoder(path)
         files, root = file_system(folder)
         files.create_dir(root, recursive=True)
-        shard = TaskContext.get().partitionId()
-        name = f"shard-{shard:06d}-{uuid.uuid4().hex[:12]}"
-        out, index, at, tokens = None, [], 0, 0
+        shard, made = TaskContext.get().partitionId(), []
+        out, name, index, at, tokens = None, "", [], 0, 0
+
+        def closed():
+            out.close()
+            with files.open_output_stream(f"{root}/{name}.idx") as f:
+                f.write(np.array(index, "<u8").tobytes())
+            made.append((shard, len(made), name, len(index) // 2, tokens))
+
         for pdf in batches:
             texts = [t or "" for t in pdf["text"]]
             for doc_id, ids in zip(pdf["doc_id"], enc.batch(texts)):
                 if out is None:
-                    out = files.open_output_stream(f"{root}/{name}.bin", buffer_size=1 << 20)
+                    name = f"shard-{shard:06d}-{len(made):06d}-{uuid.uuid4().hex[:12]}"
+                    out, index, at, tokens = files.open_output_stream(f"{root}/{name}.bin", buffer_size=1 << 20), [], 0, 0
                 ids += end
-                data = record(None if pd.isna(doc_id) else int(doc_id), np.frombuffer(ids, "<u4"))
+                data = record(None if doc_id is None else int(doc_id), np.frombuffer(ids, "<u4"))
                 out.write(data)
                 index += (at, tokens)
                 at += len(data)
                 tokens += len(ids) // 4
+                if at >= roll:
+                    closed()
+                    out = None
         if out is not None:
-            out.close()
-            with files.open_output_stream(f"{root}/{name}.idx") as f:
-                f.write(np.array(index, "<u8").tobytes())
-            yield pd.DataFrame({"shard": [shard], "name": [name], "n_records": [len(index) // 2], "n_tokens": [tokens]})
+            closed()
+        yield pd.DataFrame(made, columns=["shard", "part", "name", "n_records", "n_tokens"])
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     ordered = narrow.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
-    return ordered.mapInPandas(work, "shard long, name string, n_records long, n_tokens long")
+    return texts_by_id(ordered).mapInPandas(work, "shard long, part long, name string, n_records long, n_tokens long")
+
+
+def records(files, root: str, name: str, n: int, chunk: int = CHUNK) -> Iterator[tuple[int | None, int, np.ndarray]]:
+    """(id, ids before it in the file, ids) of a file's records, read through its index, about ``chunk`` bytes at a time."""
+    with files.open_input_file(f"{root}/{name}.idx") as f:
+        index = np.frombuffer(f.read(), "<u8").reshape(-1, 2).astype(np.int64)
+    if len(index) != n:
+        raise ValueError(f"{name}: the index has {len(index)} records, the manifest {n}")
+    with files.open_input_file(f"{root}/{name}.bin") as f:
+        ends = np.append(index[1:, 0], f.size())
+        lo = 0
+        while lo < n:
+            first = int(index[lo, 0])
+            hi = max(lo + 1, int(np.searchsorted(ends, first + chunk, "right")))
+            data = memoryview(f.read_at(int(ends[hi - 1]) - first, first))
+            for at, before in index[lo:hi].tolist():
+                doc_id, ids, _ = read_record(data, at - first)
+                yield doc_id, before, ids
+            lo = hi
 
 
 def read(manifest: DataFrame, folder: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of each record, in files named by ``manifest``."""
-    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("shard", "part").rowsBetween(Window.unboundedPreceding, -1)
     placed = manifest.withColumn("base", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         files, root = file_system(folder)
         for pdf in batches:
             for name, n, base in zip(pdf["name"], pdf["n_records"], pdf["base"]):
-                with files.open_input_file(f"{root}/{name}.idx") as f:
-                    index = np.frombuffer(f.read(), "<u8").reshape(-1, 2)
-                if len(index) != n:
-                    raise ValueError(f"{name}: the index has {len(index)} records, the manifest {n}")
-                rows = []
-                with files.open_input_file(f"{root}/{name}.bin") as f:
-                    data = memoryview(f.read())
-                for at, start in index.tolist():
-                    doc_id, ids, _ = read_record(data, at)
-                    rows.append((doc_id, base + start, len(ids), zlib.crc32(ids)))
-                yield pd.DataFrame(rows, columns=["doc_id", "start", "n_tokens", "ids_crc32"]).astype({"doc_id": "Int64"})
+                rows = [(None if i is None else str(i), base + start, len(ids), zlib.crc32(ids)) for i, start, ids in records(files, root, name, n)]
+                yield pd.DataFrame(rows, columns=["doc_id", "start", "n_tokens", "ids_crc32"])
 
     # the window leaves one partition of manifest rows; a row names a whole file, so rows are dealt out one by one
-    spread = placed.repartition(4 * slots(manifest.sparkSession), F.col("shard"))
-    return spread.mapInPandas(work, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    spread = placed.repartition(4 * slots(manifest.sparkSession), F.col("shard"), F.col("part"))
+    return long_ids(spread.mapInPandas(work, "doc_id string, start long, n_tokens long, ids_crc32 long"))
 
 
 def round_trip(docs: DataFrame, path: str, end_id: int = 2) -> DataFrame:

@@ -6,6 +6,7 @@ names in ``spark.checkpoint.dir``, so a lost executor never takes the only copy
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -33,6 +34,36 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
+#: Tables written by the operators that are running, the outermost first; see :func:`tidied`.
+_MADE: list[list[str]] = []
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def tidied(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """``operator`` that deletes, before it returns its DataFrame, the tables it wrote that the DataFrame doesn't read."""
+
+    @functools.wraps(operator)
+    def run(*args, **options) -> DataFrame:
+        _MADE.append([])
+        try:
+            out = operator(*args, **options)
+            read = {f.rsplit("/", 2)[-2] for f in out.inputFiles()}
+            for path in _MADE[-1]:
+                if path.rsplit("/", 1)[1] not in read:
+                    _delete(out.sparkSession, path)
+                elif len(_MADE) > 1:
+                    _MADE[-2].append(path)
+            return out
+        finally:
+            _MADE.pop()
+
+    return run
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
@@ -42,14 +73,15 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, label)
     df.write.parquet(path)
+    if _MADE:
+        _MADE[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def forget(spark: SparkSession, df: DataFrame) -> None:
     """Delete the files of a table made by :func:`materialize` that no later plan reads."""
     for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        p = spark._jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        _delete(spark, path)
 
 
 def bounded(df: DataFrame, rows: int) -> DataFrame:
@@ -57,6 +89,16 @@ def bounded(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
+def texts_by_id(docs: DataFrame) -> DataFrame:
+    """doc_id as text, and text, on their way through Python: pandas makes floats of whole numbers where some are null."""
+    return docs.select(F.col("doc_id").cast("long").cast("string").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
+def long_ids(df: DataFrame) -> DataFrame:
+    """The rows with ``doc_id`` a whole number again."""
+    return df.withColumn("doc_id", F.col("doc_id").cast("long"))
+
+
 def doc_hash(column: str | Column) -> Column:
     """crc32 of the id as text; a null id counts as the empty text."""
     c = F.col(column) if isinstance(column, str) else column

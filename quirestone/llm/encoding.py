@@ -36,6 +36,9 @@ FINE_BYTES = bytes([*range(0x20, 0x7F), *b"\t\n\r\x0b\x0c", *range(0x80, 0xC0),
 UNSURE = re.compile("[^\\S \\t\\n\\r\\x0b\\x0c]|[\x00-\x08\x0e-\x1f\x7f-\x9f\u0300-\u036f\u200b-\u200f\ufeff]|<\\|")
 
 
+#: Texts on which the cuts are tried when a vocabulary is loaded.
+PROBES = ("It's we'LL 12.5%, (a-b) x_1  two\n\n\tNaïve Café's don't? ...!! \r\n end ", "漢字 «ёлка» — x½5 1,000 it's\n The  the THE tHe", "a" * 30 + " 1234567890 http://a.b/c?d=e&f")
+
 #: Entries of the small table, and how many chunks are counted to choose them.
 COMMON, COMMON_FROM = 12_000, 600_000
 
@@ -94,11 +97,16 @@ class ChunkEncoder:
         self.common: dict[str, bytes] = {}
         self.sample: Counter = Counter()
         self.sampled = 0
+        #: a vocabulary whose rules the cuts don't suit encodes whole texts
+        self.cuts = True
+        self.cuts = all(self.ids(t) == self._whole(t) for t in PROBES)
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _cut(self, text: str) -> list[str] | None:
+        if not self.cuts:
+            return None
         data = text.encode("utf-8", "surrogatepass")
         if not data.translate(None, FINE_BYTES) and b"<|" not in data:
             return FINE_DROPPED.findall(text.lower()) if self.folds else FINE.findall(text)
@@ -146,7 +154,7 @@ class ChunkEncoder:
     def spans(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         data = text.encode("utf-8", "surrogatepass")
         fine = not data.translate(None, FINE_BYTES) and b"<|" not in data
-        chunks = FINE.findall(text) if fine else None if UNSURE.search(text) else COARSE.findall(text)
+        chunks = None if not self.cuts else FINE.findall(text) if fine else None if UNSURE.search(text) else COARSE.findall(text)
         if chunks is None:
             got = np.array(self.tokenizer.encode(text, add_special_tokens=False).offsets, np.int64).reshape(-1, 2)
             return got[:, 0], got[:, 1]

@@ -5,8 +5,9 @@ an item. A task keeps a bounded pool of items. For each window it seeds with the
 what is left with the multiset of lengths whose sum comes closest: a subset-sum dynamic programme over
 the pool's length counts, kept as a bitset (one Python integer; bit s = sum s can be reached), with
 counts split in powers of two and the choice backtracked through the layers. A window that can't be
-filled exactly waits for more items. At a task's end the items that still wait are laid end to end and
-cut into full windows; what is left is cut at powers of two, which need no padding.
+filled exactly waits for more items. At a task's end the windows that still wait are closed at their
+least slack, which the start of one more item fills; the last one is cut at powers of two, which need no
+padding.
 
 Nothing is shuffled: a scan's partitions are packed where they are read, and a lost task is simply
 repeated on the same rows with the same result. Memory: ``pool`` items of less than a window.
@@ -24,13 +25,12 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from .common import even
+from .common import even, long_ids, texts_by_id
 from .encoding import encoder
 
 COLUMNS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+SCHEMA = "doc_id string, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
 def best_fill(lengths: list[int], counts: dict[int, int], room: int) -> dict[int, int]:
@@ -81,17 +81,28 @@ class Pool:
         self.size -= 1
         return item
 
-    def windows(self, keep: int) -> Iterator[list]:
-        """Fill windows exactly, longest seeds first, while over ``keep`` items are there."""
+    def windows(self, keep: int, close: bool = False) -> Iterator[list]:
+        """Fill windows, longest seeds first, while over ``keep`` items are there.
+
+        A window that no multiset fills exactly waits. With ``close`` it is closed at its least slack, and what is
+        still free takes the start of the shortest item left, which is longer, or the fill weren't the best.
+        A window that has taken all items and isn't full is given last."""
         skipped = []
         while self.size > keep and self.lengths:
             seed_length = self.lengths[-1]
             seed = self.take(seed_length)
             used = best_fill(self.lengths, {k: len(v) for k, v in self.items.items()} if self.size < 64 else _Counts(self.items), self.window - seed_length)
-            if seed_length + sum(k * n for k, n in used.items()) == self.window:
-                yield [seed, *(self.take(k) for k, n in used.items() for _ in range(n))]
-            else:
+            slack = self.window - seed_length - sum(k * n for k, n in used.items())
+            if slack and not close:
                 skipped.append((seed_length, seed))
+                continue
+            window = [seed, *(self.take(k) for k, n in used.items() for _ in range(n))]
+            if slack and self.size:
+                length = self.lengths[0]
+                doc_id, start, ids, total = self.take(length)
+                window.append((doc_id, start, ids[: 4 * slack], total))
+                self.add(length - slack, (doc_id, start + slack, ids[4 * slack :], total))
+            yield window
         for length, seed in skipped:
             self.add(length, seed)
 
@@ -129,16 +140,20 @@ def pieces(docs: Iterator[tuple[object, bytes]], window: int = 2048, pool_size:
             for items in pool.windows(pool_size // 2):
                 yield from laid(items, sequence)
                 sequence += 1
-    for items in pool.windows(0):
-        yield from laid(items, sequence)
-        sequence += 1
-    rest = [pool.take(pool.lengths[-1]) for _ in range(pool.size)]
+    rest: list = []
+    for items in pool.windows(0, close=True):
+        left = sum(len(x[2]) for x in items) // 4
+        if left < window:
+            rest = items
+        else:
+            yield from laid(items, sequence)
+            sequence += 1
     left = sum(len(x[2]) for x in rest) // 4
     room, offset = 0, 0
     for doc_id, start, ids, total in rest:
         while ids:
             if not room:
-                room, offset = (window if left >= window else 1 << (left.bit_length() - 1)), 0
+                room, offset = 1 << (left.bit_length() - 1), 0
                 left -= room
             n = min(room, len(ids) // 4)
             yield doc_id, start, ids[: 4 * n], total, sequence, offset
@@ -166,5 +181,4 @@ def pack(docs: DataFrame, path: str, end_id: int = 1, window: int = 2048) -> Dat
                 rows = []
         yield pd.DataFrame(rows, columns=COLUMNS)
 
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return even(narrow).mapInPandas(work, SCHEMA)
+    return long_ids(even(texts_by_id(docs)).mapInPandas(work, SCHEMA))

@@ -21,9 +21,8 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from .common import even
+from .common import even, long_ids, texts_by_id
 from .encoding import encoder
 
 LINE = re.compile(r"[^\n]*\n|[^\n]+")
@@ -83,5 +82,4 @@ def count(docs: DataFrame, path: str, rule: str = "majority", sections: Callable
             })
 
     kind = "double" if rule == "fraction" else "long"
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return even(narrow).mapInPandas(work, f"doc_id long, section long, start long, end long, n_tokens {kind}, n_crossing long, doc_tokens long")
+    return long_ids(even(texts_by_id(docs)).mapInPandas(work, f"doc_id string, section long, start long, end long, n_tokens {kind}, n_crossing long, doc_tokens long"))
