@@ -1,10 +1,10 @@
 """Language identification by words first, backing off to shorter and shorter character n-grams.
 
-Training takes a bounded sample: documents with text and a label, outside the held-out fold, kept by a
-hash of their id at a rate that leaves about ``sample_rows`` of them (all, if there are fewer). Word and
-n-gram counts per language are summed in Spark; words seen at least twice and n-grams seen at least
-``least`` times form the model, at most ``model_rows`` entries by count. Those three are the documented
-bounds of the classifier; prediction reads every whole text.
+Training takes a bounded sample: of each language, at most ``sample_rows`` documents with text outside the
+held-out fold, those of smallest hash of id and text (all, if there are fewer), so a rare language is learned
+from as many documents as a frequent one. Word and n-gram counts per language are summed in Spark; words seen
+at least twice and n-grams seen at least ``least`` times form the model. ``sample_rows`` is the classifier's
+one bound; prediction reads every whole text.
 
 A known word adds its smoothed log frequency in each language. An unseen word is walked from its first
 character: at each place the longest known n-gram (5 to 1 characters, word boundaries marked) adds its
@@ -24,14 +24,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import doc_hash, even, only_cache
+from .common import bounded, doc_hash, even, materialize, only_cache, tidied
 
 WORDS = re.compile(r"[^\W\d_]+")
 LONGEST = 5
 STEP = math.log(0.4)
+#: Steps of a document's draw for the sample.
+DRAWS = 1 << 50
 
 
 def grams(word: str) -> list[str]:
@@ -106,13 +108,24 @@ class Model:
         return self.langs[best], float(1 / np.exp(total - total[best]).sum())
 
 
-def train(docs: DataFrame, folds: int = 5, sample_rows: int = 4000, least: int = 3, model_rows: int = 300_000) -> Model:
-    """Fit on documents whose id hash modulo ``folds`` isn't 0; see the module text for the bounds."""
-    rows = docs.select(doc_hash("doc_id").alias("h"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).filter("lang is not null")
+def sampled(docs: DataFrame, folds: int, sample_rows: int) -> DataFrame:
+    """(lang, text) of at most ``sample_rows`` documents of each language outside the held-out fold, chosen by a hash of id and text."""
+    rows = docs.select(
+        doc_hash("doc_id").alias("h"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"),
+        F.pmod(F.xxhash64("doc_id", "text"), F.lit(DRAWS)).alias("draw"),
+    ).filter("lang is not null and text is not null")
     rows = rows.filter(F.col("h") % folds != 0)
-    there = rows.select("h").count()
-    if there > sample_rows:
-        rows = rows.filter(F.pmod(F.xxhash64("h"), F.lit(1_000_000)) < F.lit(int(1_000_000 * sample_rows / there)))
+    # half as many again as are wanted, and some more, pass the first sieve; the exact bound then cuts each language
+    rates = rows.groupBy("lang").agg((F.lit((1.5 * sample_rows + 50) * DRAWS) / F.count(F.lit(1))).alias("below"))
+    rates = materialize(rates, "lang-rates")
+    first = Window.partitionBy("lang").orderBy("draw", "text")
+    few = rows.join(bounded(rates, rates.count()), "lang").filter(F.col("draw") < F.col("below")).select("lang", "draw", "text")
+    return few.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= sample_rows).select("lang", "text")
+
+
+def train(docs: DataFrame, folds: int = 5, sample_rows: int = 1000, least: int = 3) -> Model:
+    """Fit on documents whose id hash modulo ``folds`` isn't 0; see the module text for the bound."""
+    rows = sampled(docs, folds, sample_rows)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -126,10 +139,10 @@ def train(docs: DataFrame, folds: int = 5, sample_rows: int = 4000, least: int =
             got = [(0, lang, w, n) for (lang, w), n in words.items()] + [(1, lang, g, n) for (lang, g), n in pieces.items()]
             yield pd.DataFrame(got, columns=["kind", "lang", "gram", "n"])
 
-    counts = rows.select("lang", "text").mapInPandas(count, "kind int, lang string, gram string, n long").groupBy("kind", "lang", "gram").agg(F.sum("n").alias("n"))
-    counts = counts.filter(F.col("n") >= F.when(F.col("kind") == 0, 2).otherwise(least))
-    top = counts.orderBy(F.desc("n"), "kind", "lang", "gram").limit(model_rows).toPandas()
-    entries = {k: list(g[["gram", "lang", "n"]].itertuples(index=False, name=None)) for k, g in top.groupby("kind")}
+    counts = rows.mapInPandas(count, "kind int, lang string, gram string, n long").groupBy("kind", "lang", "gram").agg(F.sum("n").alias("n"))
+    counts = counts.filter(F.col("n") >= F.when(F.col("kind") == 0, 2).otherwise(least)).toPandas()
+    counts = counts.sort_values(["n", "kind", "lang", "gram"], ascending=[False, True, True, True])
+    entries = {k: list(g[["gram", "lang", "n"]].itertuples(index=False, name=None)) for k, g in counts.groupby("kind")}
     return Model(entries.get(0, []), entries.get(1, []))
 
 
@@ -148,6 +161,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     )
 
 
+@tidied
 def identified(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score for each row."""
     model = train(docs)
@@ -155,6 +169,7 @@ def identified(docs: DataFrame) -> DataFrame:
     return predict(narrow, model).select("doc_id", (doc_hash("doc_id") % 5 == 0).alias("held_out"), "lang_pred", "score")
 
 
+@tidied
 def kept_documents(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """Documents with a language: ``und`` and posteriors under ``least`` go."""
     names = docs.columns
