@@ -1,7 +1,7 @@
 """MinHash near-duplicates with DartMinHash signatures.
 
 Texts are lower-cased and split at white space; the elements are the distinct runs of five words (the
-whole text, if it has fewer). Every element owns regions of a weight x rank plane; hashed darts fall on
+whole text, if it has fewer), each weighted by how often it occurs. Every element owns regions of a weight x rank plane; hashed darts fall on
 them as a Poisson process, drawn in order of rank from the element's hash alone. A document sees the darts
 under its weights and below a rank bound that leaves about ``k ln k + 3k`` of them, and keeps the earliest
 for each of ``k`` coordinates; the bound is doubled for documents with an empty coordinate. Two documents
@@ -13,7 +13,7 @@ id; ids only choose, so texts under a null or repeated id stay apart. The repres
 (25 of 5 rows: a pair at similarity 0.8 is missed with probability 5e-5) make buckets. Each bucket is
 linked as a star to its smallest node, never as all pairs; candidate pairs are sieved by their
 signatures and then verified exactly on whole texts. Where a bucket still spans several components, its
-members are compared with the members of other components by signature, tile by tile. Each member's
+members outside its largest component are compared with all its members by signature, tile by tile. Each one's
 nearest in every other component is verified first, then, under the components by then, the next nearest,
 until every pair of a bucket that passes the sieve is verified or in one component.
 
@@ -35,16 +35,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from .common import even, forget, materialize, only_cache
+from .common import even, forget, materialize, only_cache, tidied
 from .graph import components
 
 WIDTH = 5
 BANDS, ROWS = 25, 5
 K = BANDS * ROWS
 SIMILARITY = 0.8
-#: Signature agreement under which a pair isn't verified: 3.6 standard deviations under 0.8.
-SIEVE = 0.67
-TILE = 1024
+#: Signature agreement under which a pair isn't verified: 4.2 standard deviations under 0.8.
+SIEVE = 0.65
+TILE = 512
 #: Centres that a representative is verified against at first.
 CENTRES = 4
 NO_ID = -(1 << 62)
@@ -75,27 +75,29 @@ def word_hashes(words: list[str]) -> np.ndarray:
     return np.array(got, dtype=np.uint64)
 
 
-def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
-    """Sorted distinct hashes of the runs of ``width`` words; empty for a text without words."""
+def shingles(text: str | None, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct hashes of the runs of ``width`` words, and how often each occurs; empty for a text without words."""
     h = word_hashes((text or "").lower().split())
     if not len(h):
-        return h
+        return h, np.zeros(0, np.int64)
     n = max(1, len(h) - width + 1)
     out = np.zeros(n, np.uint64)
     with np.errstate(over="ignore"):
         for i in range(min(width, len(h))):
             out = out * _U(0xD6E8FEB86659FD93) + h[i : i + n]
-    return np.unique(mix(out))
+    return np.unique(mix(out), return_counts=True)
 
 
-def similarity(a: np.ndarray, b: np.ndarray) -> float:
-    """Jaccard similarity of two sorted distinct arrays; 1 for two empty ones."""
-    if not len(a) and not len(b):
+def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
+    """Weighted Jaccard similarity of two sorted distinct arrays with counts; 1 for two empty ones."""
+    if not len(a[0]) and not len(b[0]):
         return 1.0
-    both = np.concatenate([a, b])
-    both.sort()
-    shared = int((both[1:] == both[:-1]).sum())
-    return shared / (len(both) - shared)
+    both, n = np.concatenate([a[0], b[0]]), np.concatenate([a[1], b[1]])
+    order = np.argsort(both, kind="stable")
+    both, n = both[order], n[order]
+    twice = np.flatnonzero(both[1:] == both[:-1])
+    shared = int(np.minimum(n[twice], n[twice + 1]).sum())
+    return shared / (int(n.sum()) - shared)
 
 
 def signatures(elements: list[np.ndarray], weights: list[np.ndarray] | None = None, k: int = K) -> np.ndarray:
@@ -111,7 +113,7 @@ def signatures(elements: list[np.ndarray], weights: list[np.ndarray] | None = No
         total = lens.astype(float) if w is None else np.bincount(doc, w, len(todo))
         bound = (darts / total)[doc]
         best = np.full(len(todo) * k, np.iinfo(np.uint64).max, np.uint64)
-        low, high, layer = 0.0, 1.0, 0
+        low, high, layer, least = 0.0, 1.0, 0, 1.0 if w is None else float(w.min())
         while True:  # layers [0, 1), [1, 2), [2, 4), ... of weight
             act = np.arange(len(el)) if w is None else np.flatnonzero(w > low)
             if not len(act):
@@ -126,7 +128,7 @@ def signatures(elements: list[np.ndarray], weights: list[np.ndarray] | None = No
                 alive = rank < bound[act]
                 act, rank, g, h = act[alive], rank[alive], g[alive], h[alive]
                 hit, at, mark, when = act, g >> _U(32), g & _U(0xFFFFFFFF), rank
-                if w is not None:
+                if w is not None and high > least:  # a whole layer needs no test
                     place = low + (high - low) * ((h & _U(0x7FF)).astype(np.float64) + 0.5) / 2048
                     inside = place < w[act]
                     hit, at, mark, when = act[inside], at[inside], mark[inside], rank[inside]
@@ -163,14 +165,16 @@ def sketch(docs: DataFrame) -> DataFrame:
             lo = 0
             texts = pdf["text"].tolist()
             while lo < len(texts):
-                sets, keys, size, hi = [], [], 0, lo
+                sets, counts, keys, size, hi = [], [], [], 0, lo
                 while hi < len(texts) and size < 400_000:
                     words = (texts[hi] or "").lower().split()
                     keys.append(hashlib.blake2b(" ".join(words).encode("utf-8", "surrogatepass"), digest_size=16).digest())
-                    sets.append(shingles(texts[hi]))
-                    size += len(sets[-1])
+                    elements, n = shingles(texts[hi])
+                    sets.append(elements)
+                    counts.append(n)
+                    size += len(elements)
                     hi += 1
-                sig = signatures(sets)
+                sig = signatures(sets, counts)
                 bands = band_keys(sig)
                 yield pd.DataFrame({
                     "id": pdf["id"].to_numpy()[lo:hi], "mark": pdf["mark"].to_numpy()[lo:hi], "key": keys,
@@ -216,26 +220,27 @@ def _verified(pairs: DataFrame, sigs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _across(members: DataFrame, most: int) -> DataFrame:
-    """Pairs of members of one bucket in different components: for each member and other component, the ``most``
-    nearest by signature. ``cut`` says that the member has further partners there that pass the sieve."""
-    tiles = F.ceil(F.col("members") / TILE).cast("int")
-    mine = F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int")
-    m = members.withColumn("tiles", tiles).withColumn("tile", mine)
-    m = m.select("h", "id", "component", "sig", "tile", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
-    m = m.select("h", F.least("tile", "other").alias("t0"), F.greatest("tile", "other").alias("t1"), "tile", "id", "component", "sig")
+    """Pairs of members of one bucket in different components, one of them ``outside`` the bucket's largest: for each such
+    member and other component, the ``most`` nearest by signature. ``cut`` says that it has further partners there that pass the sieve.
+
+    Rows travel in tiles: outside members by ``i`` to every tile ``j`` of all members, and these to every ``i``."""
+
+    def tile(n: str):
+        return F.ceil(F.col(n) / TILE).cast("int")
+
+    m = members.withColumn("rows", tile("n_outside")).withColumn("columns", tile("members")).withColumn("x", F.xxhash64("id"))
+    i, j = F.pmod("x", F.col("rows")).cast("int"), F.pmod("x", F.col("columns")).cast("int")
+    met = F.transform(F.sequence(F.lit(0), F.col("rows") - 1), lambda k: F.struct(k.alias("i"), j.alias("j"), F.lit(False).alias("asks")))
+    asks = F.transform(F.sequence(F.lit(0), F.col("columns") - 1), lambda k: F.struct(i.alias("i"), k.alias("j"), F.lit(True).alias("asks")))
+    m = m.select("h", "id", "component", "sig", F.explode(F.when(F.col("outside"), F.concat(met, asks)).otherwise(met)).alias("t")).select("h", "t.*", "id", "component", "sig")
 
     def work(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("id", ignore_index=True)
         sig = np.frombuffer(b"".join(pdf["sig"]), np.uint32).reshape(len(pdf), -1)
-        comp, ids, tile = pdf["component"].to_numpy(), pdf["id"].to_numpy(), pdf["tile"].to_numpy()
-        cross = pdf["t0"].iat[0] != pdf["t1"].iat[0]
-        names, count = np.unique(comp, return_counts=True)
+        comp, ids, asks = pdf["component"].to_numpy(), pdf["id"].to_numpy(), pdf["asks"].to_numpy()
         out = []
-        for i in np.flatnonzero(comp != names[np.argmax(count)]):  # a pair across components has a side outside the largest
-            other = comp != comp[i]
-            if cross:
-                other &= tile != tile[i]
-            at = np.flatnonzero(other)
+        for i in np.flatnonzero(asks):
+            at = np.flatnonzero(~asks & (comp != comp[i]))
             near = (sig[at] == sig[i]).mean(axis=1)
             at, near = at[near >= SIEVE], near[near >= SIEVE]
             order = np.lexsort((ids[at], -near, comp[at]))
@@ -246,7 +251,7 @@ def _across(members: DataFrame, most: int) -> DataFrame:
             out += [(pdf["h"].iat[0], max(ids[i], ids[j]), min(ids[i], ids[j]), cut) for j in at[place < most]]
         return pd.DataFrame(out, columns=["h", "a", "b", "cut"]).astype({"h": "int64", "a": "int64", "b": "int64", "cut": "bool"})
 
-    return m.groupBy("h", "t0", "t1").applyInPandas(work, "h long, a long, b long, cut boolean")
+    return m.groupBy("h", "i", "j").applyInPandas(work, "h long, a long, b long, cut boolean")
 
 
 def _settled(members: DataFrame, sigs: DataFrame, texts: DataFrame, tried: DataFrame) -> DataFrame:
@@ -261,8 +266,9 @@ def _settled(members: DataFrame, sigs: DataFrame, texts: DataFrame, tried: DataF
         # buckets that still hold several components; signatures travel for their members only
         placed = members.join(found.withColumnRenamed("node", "id"), "id", "left").select("h", "id", "members", F.coalesce("component", "id").alias("component"))
         placed = materialize(placed, "near-placed")
-        several = materialize(placed.groupBy("h").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).filter("c0 <> c1").select("h"), "near-open")
-        unsettled = materialize(placed.join(several, "h"), "near-unsettled")
+        largest = placed.groupBy("h", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("h").agg(F.max(F.struct("n", "component")).alias("x"), F.sum("n").alias("all"))
+        largest = materialize(largest.filter("all > x.n").select("h", F.col("x.component").alias("largest"), (F.col("all") - F.col("x.n")).alias("n_outside")), "near-open")
+        unsettled = materialize(placed.join(largest, "h").withColumn("outside", F.col("component") != F.col("largest")).drop("largest"), "near-unsettled")
         across = materialize(_across(unsettled.join(sigs, "id"), most), "near-across")
         fresh = across.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
         more = _verified(fresh, sigs, texts)
@@ -319,6 +325,7 @@ def _grouped(docs: DataFrame) -> DataFrame:
     return out.select("id", "mark", "class_id", "component_id", ((F.col("id") == F.col("component_id")) & (F.col("mark") == F.col("kept_mark"))).alias("kept"))
 
 
+@tidied
 def groups(docs: DataFrame) -> DataFrame:
     """doc_id, class_id (same words), component_id (reachable by links), kept for each row."""
 
@@ -328,6 +335,7 @@ def groups(docs: DataFrame) -> DataFrame:
     return _grouped(docs).select(real("id").alias("doc_id"), real("class_id").alias("class_id"), real("component_id").alias("component_id"), "kept")
 
 
+@tidied
 def deduplicated_documents(docs: DataFrame) -> DataFrame:
     """One document of each group, with all its columns: the one with the smallest id (one row, if rows repeat it)."""
     names = docs.columns

@@ -1,6 +1,7 @@
 """Near-duplicates against brute force where the nearest candidate of a component isn't the one that links."""
 
 import random
+from collections import Counter
 
 from quirestone.llm import minhash
 
@@ -18,7 +19,7 @@ def cluster(seed, n=14, size=240):
 
 
 def brute(texts):
-    sets = [set(minhash.shingles(t).tolist()) for t in texts]
+    sets = [Counter(tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)) for t in texts]
     root = list(range(len(texts)))
 
     def find(i):
@@ -28,7 +29,7 @@ def brute(texts):
 
     for i in range(len(sets)):
         for j in range(i):
-            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+            if (sets[i] & sets[j]).total() >= 0.8 * (sets[i] | sets[j]).total():
                 x, y = sorted((find(i), find(j)))
                 root[y] = x
     return [find(i) for i in range(len(sets))]
@@ -53,3 +54,23 @@ def test_texts_under_null_and_repeated_ids_are_nodes_of_their_own(spark):
     assert got == {(None, None, True), (5, None, False), (6, None, False), (7, 7, True), (8, 7, False)}
     kept = [(r["doc_id"], r["text"]) for r in minhash.deduplicated_documents(docs).collect()]
     assert sorted(kept, key=repr) == sorted([(None, a), (None, b), (7, c), (7, d), (None, None)], key=repr)
+
+
+def test_how_often_runs_occur_counts(spark):
+    line, other = (cluster(seed, 1, 12)[0] for seed in (201, 202))
+    texts = [" ".join([line] * 10), " ".join([line] * 9), " ".join([line] * 3), " ".join([line] * 10 + [other]), " ".join([line] * 2 + [other] * 8)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = brute(texts)
+    assert want == [0, 0, 2, 0, 4]
+    assert {r["doc_id"]: r["component_id"] for r in minhash.groups(docs).collect()} == dict(enumerate(want))
+
+
+def test_large_buckets_in_tiles(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "TILE", 8)
+    rows, want = [], {}
+    for c, seed in enumerate((0, 13, 20)):
+        texts = cluster(seed, 40)
+        rows += [(100 * c + i, t) for i, t in enumerate(texts)]
+        want |= {100 * c + i: 100 * c + x for i, x in enumerate(brute(texts))}
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {r["doc_id"]: r["component_id"] for r in minhash.groups(docs).collect()} == want

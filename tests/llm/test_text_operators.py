@@ -207,10 +207,16 @@ def test_best_fill_is_best(items, room):
     assert all(n <= counts[k] for k, n in used.items()) and sum(k * n for k, n in used.items()) == max(sums)
 
 
+def counted(text):
+    """Runs of five words with their counts, written out."""
+    w = (text or "").lower().split()
+    return Counter(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else Counter()
+
+
 def test_near_duplicates_by_brute_force(spark, docs, data, empty):
     ids = [r[0] for r in data if r[0] is not None]
     text = {r[0]: r[1] for r in data}
-    sets = {i: set(minhash.shingles(text[i]).tolist()) for i in ids}
+    sets = {i: counted(text[i]) for i in ids}
     root = {i: i for i in ids}
 
     def find(i):
@@ -220,7 +226,7 @@ def test_near_duplicates_by_brute_force(spark, docs, data, empty):
 
     for a in sorted(sets):
         for b in sorted(sets):
-            if a < b and (sets[a] == sets[b] or len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])):
+            if a < b and (sets[a] == sets[b] or (sets[a] & sets[b]).total() >= 0.8 * (sets[a] | sets[b]).total()):
                 x, y = sorted((find(a), find(b)))
                 root[y] = x
     got = [r for r in minhash.groups(docs).collect() if r["doc_id"] is not None]
