@@ -2,11 +2,11 @@
 
 Equal vectors are one class. Unit vectors of a bounded sample (``SAMPLE_ROWS``) fit coarse centroids and
 residual codebooks; every class is indexed in its nearest list with one code per subspace and its own
-quantisation error. Links between vectors at cosine ``c`` or more lie within ``delta = sqrt(2 - 2c)``. A
-class visits each other list whose border (the hyperplane between both centroids) is nearer than
-``z * delta / sqrt(d)``: a displacement of length delta in a direction not aligned with the border crosses
-it from further away with normal tail probability; ``z = 4`` by default, and ``z = sqrt(d)`` makes the
-probes exact. A list is visited only by classes of lists before it, so each pair meets once.
+quantisation error. Links between vectors at cosine ``c`` or more lie within ``delta = sqrt(2 - 2c)``. The
+border of two lists is the hyperplane between their centroids, and a link across it is at least as long as
+both its ends' distances from it together, so one end is within ``delta / 2``. A class visits every list whose
+border is that near: no link is missed, whatever the vectors' dimension. Where both ends visit each other's
+list, the pair counts in the list of the later one only.
 
 In a list, asymmetric distances come from lookup tables (one per visitor and subspace) and pass pairs at
 ``delta`` plus the member's quantisation error, which by the triangle inequality drops no link; the
@@ -29,17 +29,19 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, tidied
 from .graph import components
-from .vectors import k_means, main_size, nearest, read_vectors, sample, stacked
+from .vectors import SAMPLE_ROWS, k_means, main_size, nearest, read_vectors, sample, stacked
 
 THRESHOLD = 0.95
 MEMBERS, VISITORS = 1024, 4096
 NO_ID = -(1 << 62)
+PLACED = "list int, visitor boolean, id long, n_same long, v binary, codes binary, error double, home int, visits binary"
+TRAVEL = ["id", "n_same", "v", "codes", "error", "home", "visits"]
 
 
 class Index:
-    """Coarse centroids and residual codebooks of unit vectors."""
+    """Coarse centroids and residual codebooks of unit vectors, fitted on a sample."""
 
     def __init__(self, x: np.ndarray, lists: int, subspaces: int = 8, codes: int = 64):
         self.coarse = k_means(x, lists)
@@ -47,8 +49,6 @@ class Index:
         self.parts = np.array_split(np.arange(d), min(subspaces, d))
         rest = x - self.coarse[nearest(x, self.coarse)]
         self.books = [k_means(rest[:, p], codes) for p in self.parts]
-        gap = np.sqrt(np.maximum(((self.coarse[:, None] - self.coarse[None]) ** 2).sum(-1), 1e-18))
-        self.gap = gap
 
     def home(self, x: np.ndarray) -> np.ndarray:
         return nearest(x, self.coarse)
@@ -61,11 +61,18 @@ class Index:
         return codes.astype(np.uint8), np.sqrt(error)
 
     def probes(self, x: np.ndarray, home: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
-        """(row, list) for later lists whose border with the row's own list is within ``reach``."""
-        d2 = (x**2).sum(1)[:, None] + (self.coarse**2).sum(1) - 2 * x @ self.coarse.T
-        margin = (d2 - d2[np.arange(len(x)), home][:, None]) / (2 * self.gap[home])
-        margin[np.arange(len(self.coarse)) <= home[:, None]] = np.inf
-        return np.nonzero(margin <= reach)
+        """(row, list) for the other lists whose border with the row's own list is within ``reach``."""
+        norms, rows, lists = (self.coarse**2).sum(1), [], []
+        for lo in range(0, len(x), 512):
+            y, own = x[lo : lo + 512], home[lo : lo + 512]
+            d2 = norms - 2 * y @ self.coarse.T  # less |y|^2, which drops out
+            gap = np.sqrt(np.maximum(norms[own][:, None] + norms - 2 * self.coarse[own] @ self.coarse.T, 1e-18))
+            margin = (d2 - d2[np.arange(len(y)), own][:, None]) / (2 * gap)
+            margin[np.arange(len(y)), own] = np.inf
+            at, to = np.nonzero(margin <= reach)
+            rows.append(at + lo)
+            lists.append(to)
+        return np.concatenate(rows), np.concatenate(lists)
 
     def distances(self, visitors: np.ndarray, place: int, codes: np.ndarray) -> np.ndarray:
         """Squared asymmetric distances of visitors to the coded members of one list."""
@@ -114,10 +121,24 @@ def _tiles(placed: DataFrame, sizes: DataFrame) -> DataFrame:
     as_member = F.when(F.col("n") > 0, F.transform(upto(F.col("n")), lambda j: cell(False, t, j, F.lit(0)))).otherwise(none)
     own = F.transform(upto(F.col("k")), lambda o: cell(True, F.least(t, o), F.greatest(t, o), F.when(o < t, 1).otherwise(0)))
     cells = F.when(F.col("visitor"), as_visitor).otherwise(F.concat(as_member, own))
-    return p.select("list", "id", "n_same", "v", "codes", "error", F.explode(cells).alias("c")).select("list", "c.*", "id", "n_same", "v", "codes", "error")
+    return p.select("list", *TRAVEL, F.explode(cells).alias("c")).select("list", "c.*", *TRAVEL)
 
 
-def linked(emb: DataFrame, threshold: float = THRESHOLD, z: float = 4.0, lists: int | None = None) -> DataFrame:
+def _twice(home: np.ndarray, member_visits: list[bytes], place: int) -> dict[int, np.ndarray]:
+    """For each visitors' list after ``place``: the members that visit it, whose pairs with its visitors count there."""
+    visits = [np.frombuffer(v, "<i4") for v in member_visits]
+    owner = np.repeat(np.arange(len(visits)), [len(v) for v in visits])
+    flat = np.concatenate(visits) if visits else np.zeros(0, np.int32)
+    out = {}
+    for h in np.unique(home[home > place]):
+        mask = np.zeros(len(visits), bool)
+        mask[owner[flat == h]] = True
+        out[int(h)] = mask
+    return out
+
+
+@tidied
+def linked(emb: DataFrame, threshold: float = THRESHOLD, lists: int | None = None) -> DataFrame:
     """vec_id, n_links, component_id, kept for each row."""
     rows = read_vectors(emb)
     d = main_size(rows)
@@ -127,11 +148,12 @@ def linked(emb: DataFrame, threshold: float = THRESHOLD, z: float = 4.0, lists:
     spark = emb.sparkSession
     if there:
         norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
-        fit = sample(classes.select(F.transform("v", lambda x: x / norm).alias("v")), there, d)
-        index = Index(fit, lists or int(min(1024, max(16, math.sqrt(there) / 2))))
+        lists = lists or int(max(16, math.sqrt(there) / 2))
+        fit = sample(classes.select(F.transform("v", lambda x: x / norm).alias("v")), there, d, max(SAMPLE_ROWS, 4 * lists))
+        index = Index(fit, lists)
         shared = spark.sparkContext.broadcast(index)
         delta = math.sqrt(max(0.0, 2 - 2 * threshold))
-        reach = z * delta / math.sqrt(d)
+        reach = delta / 2 + 1e-6
 
         def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             ix = shared.value
@@ -143,14 +165,16 @@ def linked(emb: DataFrame, threshold: float = THRESHOLD, z: float = 4.0, lists:
                 home = ix.home(x)
                 codes, error = ix.encode(x, home)
                 at, to = ix.probes(x, home, reach)
+                visits = [v.astype("<i4").tobytes() for v in np.split(to, np.searchsorted(at, np.arange(1, len(x))))]
                 who = np.concatenate([np.arange(len(x)), at])
                 visitor = np.repeat([False, True], [len(x), len(at)])
                 yield pd.DataFrame({
                     "list": np.concatenate([home, to]), "visitor": visitor, "id": pdf["id"].to_numpy()[who], "n_same": pdf["n_same"].to_numpy()[who],
                     "v": [pdf["v"].iat[i].astype("<f8").tobytes() for i in who], "codes": [codes[i].tobytes() for i in who], "error": error[who],
+                    "home": home[who], "visits": [*visits, *[b""] * len(at)],
                 })
 
-        placed = materialize(classes.select("id", "n_same", "v").mapInPandas(place, "list int, visitor boolean, id long, n_same long, v binary, codes binary, error double"), "pq-placed")
+        placed = materialize(classes.select("id", "n_same", "v").mapInPandas(place, PLACED), "pq-placed")
         sizes = placed.groupBy("list").agg(F.count_if(~F.col("visitor")).alias("members"), F.count_if("visitor").alias("visitors"))
 
         def tile(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -174,6 +198,10 @@ def linked(emb: DataFrame, threshold: float = THRESHOLD, z: float = 4.0, lists:
                     i, j = r[at : at + 65_536], c[at : at + 65_536]
                     cosine = np.einsum("ij,ij->i", u[who[i]], u[members[j]])
                     links[lo + i, j] = cosine >= threshold
+            if not own:
+                home = pdf["home"].to_numpy()[visitors]
+                for h, mask in _twice(home, pdf["visits"].iloc[members].tolist(), place_).items():
+                    links[np.ix_(home == h, mask)] = False
             if own and same_tile:
                 links &= ids[visitors][:, None] > ids[members]
             count = np.zeros(len(pdf), np.int64)

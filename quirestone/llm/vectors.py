@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Vectors taken to the driver to fit an index, at most about so many (kept by a hash of the vector).
+#: Different vectors taken to the driver to fit an index, about so many (kept by a hash of the vector).
 SAMPLE_ROWS = 16_384
 
 
@@ -36,7 +36,7 @@ def stacked(v: pd.Series, d: int) -> np.ndarray:
 def sample(df: DataFrame, there: int, d: int, rows: int = SAMPLE_ROWS) -> np.ndarray:
     """About ``rows`` vectors of ``df(v)``, chosen by a hash of the vector, in a fixed order."""
     if there > rows:
-        df = df.filter(F.pmod(F.xxhash64("v", F.lit(11)), F.lit(1_000_000)) < F.lit(max(1, int(1e6 * rows / there))))
+        df = df.filter(F.pmod(F.xxhash64("v", F.lit(11)), F.lit(1 << 50)) < F.lit(int((1 << 50) * rows / there)))
     got = stacked(df.select("v").toPandas()["v"], d)
     return got[np.lexsort(got.T)] if len(got) else got
 
@@ -57,4 +57,8 @@ def k_means(x: np.ndarray, k: int, rounds: int = 8, seed: int = 5) -> np.ndarray
 
 
 def nearest(x: np.ndarray, c: np.ndarray) -> np.ndarray:
-    return np.argmin((c**2).sum(1) - 2 * x @ c.T, axis=1) if len(x) else np.zeros(0, np.int64)
+    """The place of each row's nearest centroid, worked out in blocks of bounded size."""
+    out, norms, step = np.zeros(len(x), np.int64), (c**2).sum(1), max(1, (1 << 22) // max(1, len(c)))
+    for lo in range(0, len(x), step):
+        out[lo : lo + step] = np.argmin(norms - 2 * x[lo : lo + step] @ c.T, axis=1)
+    return out
