@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import bounded, materialize, tidied
 from .vectors import main_size, read_vectors, stacked
 
 DIMENSIONS, BITS = 6, 10
@@ -122,6 +122,7 @@ def _merge(parts: DataFrame, k: int) -> DataFrame:
     return best.withColumn("rank", F.row_number().over(order).cast("int")).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
+@tidied
 def search(emb: DataFrame, k: int = 20, every: int = 20, curves: int = 3, recall: float = 0.97) -> DataFrame:
     """The ``k`` nearest of every row whose id is divisible by ``every``: query_id, rank, vec_id, score."""
     spark = emb.sparkSession
@@ -155,35 +156,42 @@ def search(emb: DataFrame, k: int = 20, every: int = 20, curves: int = 3, recall
     blocks = max(LEAST_BLOCKS, -(-there // BLOCK_ROWS))
     cuts = on_curve.groupBy("curve").agg(F.expr(f"percentile_approx(place, array({','.join(str(i / blocks) for i in range(1, blocks))}), 10000)").alias("cuts"))
     cuts = {r["curve"]: np.array(r["cuts"], np.int64) for r in cuts.collect()}  # blocks - 1 numbers a curve
-    edges = F.create_map(*[x for c, v in cuts.items() for x in (F.lit(c), F.array(*[F.lit(int(i)) for i in v]))])
-    block = F.size(F.filter(edges[F.col("curve")], lambda c: c < F.col("place")))
-    members = on_curve.withColumn("block", block)
-    asking = queries.mapInPandas(keyed(True), "curve int, place long, query_id long, v array<double>").withColumn("block", block)
 
-    half = _half_width(base, queries, asked, model, cuts, blocks, k, recall, d)
-    tiles = max(1, -(-asked // QUERY_TILE))
+    @F.pandas_udf("int")
+    def block_of(curve: pd.Series, place: pd.Series) -> pd.Series:
+        c, p = curve.to_numpy(), place.to_numpy()
+        out = np.zeros(len(c), np.int32)
+        for i, edges in cuts.items():
+            out[c == i] = np.searchsorted(edges, p[c == i])
+        return pd.Series(out)
+
+    members = on_curve.withColumn("block", block_of("curve", "place"))
+    asking = queries.mapInPandas(keyed(True), "curve int, place long, query_id long, v array<double>").withColumn("block", block_of("curve", "place"))
+
+    half = _half_width(base, queries, model, cuts, blocks, k, recall, d)
     low, high = F.greatest(F.lit(0), F.col("block") - half), F.least(F.lit(blocks - 1), F.col("block") + half)
-    asking = asking.withColumn("tile", F.pmod(F.xxhash64("query_id"), F.lit(tiles)).cast("int")).select("curve", F.explode(F.sequence(low, high)).alias("block"), "tile", "query_id", "v", F.lit(None).cast("array<long>").alias("ids"))
-    members = members.select("curve", "block", F.explode(F.sequence(F.lit(0), F.lit(tiles - 1))).alias("tile"), F.lit(None).cast("long").alias("query_id"), "v", "ids")
+    asking = materialize(asking.select("curve", F.explode(F.sequence(low, high)).alias("block"), "query_id", "v"), "curve-asking")
+    # a block's members travel to as many tiles as its own queries fill, and to none where none asks
+    tiles = asking.groupBy("curve", "block").agg(F.ceil(F.count(F.lit(1)) / QUERY_TILE).cast("int").alias("tiles"))
+    tiles = bounded(tiles, blocks * curves)
+    asking = asking.join(tiles, ["curve", "block"]).select("curve", "block", F.pmod(F.xxhash64("query_id"), F.col("tiles")).cast("int").alias("tile"), F.col("query_id").cast("string").alias("query_id"), "v", F.lit(None).cast("array<long>").alias("ids"))
+    members = members.join(tiles, ["curve", "block"]).select("curve", "block", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("tile"), F.lit(None).cast("string").alias("query_id"), "v", "ids")
 
     def meet(pdf: pd.DataFrame) -> pd.DataFrame:
         is_query = pdf["query_id"].notna()
         q, m = pdf[is_query], pdf[~is_query]
         if not len(q) or not len(m):
             return pd.DataFrame({"query_id": np.zeros(0, np.int64), "ids": np.zeros(0, object), "scores": np.zeros(0, object)})
-        got = list(best_of(stacked(q["v"], d), q["query_id"].to_numpy().astype(np.int64), stacked(m["v"], d), m["ids"].tolist(), k))
+        got = list(best_of(stacked(q["v"], d), q["query_id"].astype("int64").to_numpy(), stacked(m["v"], d), m["ids"].tolist(), k))
         return pd.DataFrame(got, columns=["query_id", "ids", "scores"])
 
     parts = members.unionByName(asking).groupBy("curve", "block", "tile").applyInPandas(meet, PART)
     return _merge(parts, k)
 
 
-def _half_width(base: DataFrame, queries: DataFrame, asked: int, model: Curves, cuts: dict, blocks: int, k: int, recall: float, d: int) -> int:
+def _half_width(base: DataFrame, queries: DataFrame, model: Curves, cuts: dict, blocks: int, k: int, recall: float, d: int) -> int:
     """Blocks to each side that find ``recall`` of the true neighbours of a sample of queries."""
-    rate = max(1, int(1e6 * CALIBRATION / asked))
-    some = queries.filter(F.pmod(F.xxhash64("vec_id"), F.lit(1_000_000)) < rate).orderBy("vec_id").limit(4 * CALIBRATION).toPandas() if asked > CALIBRATION else queries.orderBy("vec_id").toPandas()
-    if not len(some):
-        some = queries.orderBy("vec_id").limit(CALIBRATION).toPandas()
+    some = queries.orderBy(F.xxhash64("vec_id"), "vec_id").limit(CALIBRATION).toPandas()
     qv, qid = stacked(some["v"], d), some["vec_id"].to_numpy()
 
     def exact(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
