@@ -1,31 +1,37 @@
 """Mixing sources to target weights with a multivariate-hypergeometric splitting tree (native).
 
 Every source's documents are put in a fixed random order (md5 of id, source and size) and cut into
-blocks of about ``block_docs``. A source's target fixes how many words, and so how many block draws,
-the mix takes: whole passes over the source, then the leading blocks of one more pass; the last
-document of that pass gives only the words still missing, so a source meets its target exactly.
-The exact block quotas are then split among the output shards, from the root of a binary tree down:
-at each node the left child's share of every source is drawn from the multivariate hypergeometric
-distribution given by both children's capacities. A shard's draws of a source are disjoint, contiguous
-runs of the permuted blocks. A draw's place, a hash of the document's ``local_key``, its text and the
-number of the draw, orders a shard: the local shuffle, in which the mix's documents are laid out.
+blocks of about ``block_docs``. A source's target fixes its quota of block draws: whole passes over the
+source, then the leading blocks of one more pass, whose documents are taken up to the one at the target,
+and that one whole or not at all, whichever comes nearer. The exact quotas are split among the output shards,
+from the root of a binary tree down: at each node the left child's share of every source is drawn from the
+multivariate hypergeometric distribution given by both children's capacities. A shard's draws of a source are
+disjoint, contiguous runs of the permuted blocks; a document is in the mix once for each draw of its block that
+takes it. A draw's place, a hash of the document's ``local_key``, its text and the number of the draw, orders a
+shard: the local shuffle, in which the mix's documents are laid out. The tree has as many levels as leave about
+``SHARD_DOCS`` documents a shard, 4 at least.
 
 Only DataFrame functions are used. No window holds a whole source: prefix sums over blocks go through
-super-blocks, and documents meet only their own block.
+super-blocks, documents meet only their own block, and draws find their shard in cells of ``CELL`` draws.
+A node of the tree is one row with a count for each source, so sources may number in the thousands.
 
 Defined cases: a null source is a source of its own, last in order; null or empty text has size 0 and
-is taken 0 times; rows that repeat are separate documents; an empty table gives an empty result.
+is taken 0 times (the mix repeats it with the whole passes); rows that repeat are separate documents; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bounded, materialize
+from .common import bounded, materialize, tidied
 
 WORD = r"[^\x20\x09-\x0D]+"
-SUPER = 256
+SUPER, CELL = 256, 256
+SHARD_DOCS = 1 << 17
 
 
 def _let(value: Column, use) -> Column:
@@ -143,18 +149,30 @@ def _blocked(d: DataFrame, per_source: DataFrame, n_sources: int) -> DataFrame:
     return d.join(bounded(per_source.select("skey", "n_blocks"), n_sources), "skey").withColumn("block", F.floor(place * F.col("n_blocks") / F.lit(1 << 32)).cast("long")).drop("n_blocks")
 
 
-def mix(docs: DataFrame, weights=(3, 1, 2), share: float = 1.5, most: float = 2.0, shard_levels: int = 4, block_docs: int = 64, seed: int = 7, carry: tuple = ()) -> DataFrame:
+def _shards_of(draws: DataFrame, shares: DataFrame) -> DataFrame:
+    """``draws(skey, block, draws)``, arrays of draw numbers, with ``shards``: the shard that holds each, by ``shares(skey, shard, n)``."""
+    upto = Window.partitionBy("skey").orderBy("shard")
+    runs = shares.withColumn("to", F.sum("n").over(upto)).withColumn("cell", F.explode(F.sequence(F.floor((F.col("to") - F.col("n")) / CELL), F.floor((F.col("to") - 1) / CELL))))
+    cells = runs.groupBy("skey", "cell").agg(F.array_sort(F.collect_list(F.struct("to", "shard"))).alias("runs"))
+    each = draws.select("skey", "block", F.posexplode("draws").alias("nth", "draw")).withColumn("cell", F.floor(F.col("draw") / CELL))
+    there = each.join(cells, ["skey", "cell"]).withColumn("shard", F.filter("runs", lambda x: F.col("draw") < x["to"])[0]["shard"].cast("int"))
+    return there.groupBy("skey", "block").agg(F.transform(F.array_sort(F.collect_list(F.struct("nth", "shard"))), lambda x: x["shard"]).alias("shards"))
+
+
+@tidied
+def mix(docs: DataFrame, weights=(3, 1, 2), share: float = 1.5, most: float = 2.0, shard_levels: int | None = None, block_docs: int = 64, seed: int = 7, carry: tuple = ()) -> DataFrame:
     """One row per input row: doc_id, source, size, source_size, target, taken, block, shards, places, draws, local_key and ``in_*``.
 
-    ``taken`` is the number of words the mix takes, repeats counted; ``shards`` holds the output shard
-    of each draw of the document's block that takes words from it, whole passes first, and ``places`` the
-    draw's place there. ``draws`` are both, with those of whole passes also for documents of size 0."""
+    ``draws`` are the shard of each draw of the document's block that takes the document, whole passes first, with
+    the draw's place there; ``taken`` is its size times their number; ``shards`` and ``places`` are those of
+    documents that have words."""
     sized = materialize(_sized(docs, []), "mix-sizes")
     per_source = materialize(
         sized.groupBy("skey", "source").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("size").alias("source_size")).withColumn("n_blocks", F.ceil(F.col("n_docs") / block_docs).cast("long")),
         "mix-sources",
     )
-    n_sources = per_source.count()
+    n_sources, n_docs = per_source.agg(F.count(F.lit(1)), F.coalesce(F.sum("n_docs"), F.lit(0))).first()
+    levels = levels_for(n_docs * share) if shard_levels is None else shard_levels
     targets = source_targets(per_source, weights, share, most)
     goal = F.round("target").cast("long")
     size = F.greatest(F.col("source_size"), F.lit(1))
@@ -176,63 +194,50 @@ def mix(docs: DataFrame, weights=(3, 1, 2), share: float = 1.5, most: float = 2.
     drawn = blocks.groupBy("skey").agg(
         (F.first("passes") * F.count(F.lit(1)) + F.sum((F.col("first_word") < F.col("rest")).cast("long"))).alias("draws"), F.count(F.lit(1)).alias("blocks_there")
     )
-    shares = split_quotas(drawn.select("skey", "draws"), shard_levels, seed)
-    bounds = shares.groupBy("skey").agg(F.array_sort(F.collect_list(F.struct("shard", "n"))).alias("parts"))
-    bounds = materialize(drawn.join(bounds, "skey", "left").select("skey", "blocks_there", F.coalesce("parts", F.array().cast("array<struct<shard:bigint,n:bigint>>")).alias("parts")), "mix-shares")
-
-    def shard(draw: Column) -> Column:
-        return F.aggregate(
-            "parts",
-            F.struct(F.lit(0).cast("long").alias("to"), F.lit(None).cast("long").alias("shard")),
-            lambda a, p: F.struct((a["to"] + p["n"]).alias("to"), F.when(a["shard"].isNull() & (draw < a["to"] + p["n"]), p["shard"]).otherwise(a["shard"]).alias("shard")),
-        )["shard"].cast("int")
-
-    blocks = blocks.join(bounded(bounds, n_sources), "skey").select(
-        "skey", "block", "source_size", "target", "passes", "rest", "first_word",
-        F.when(F.col("passes") > 0, F.transform(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("passes") - 1, F.lit(0).cast("long"))), lambda t: shard(t * F.col("blocks_there") + F.col("rank")))).otherwise(F.array().cast("array<int>")).alias("full_shards"),
-        F.when(F.col("first_word") < F.col("rest"), shard(F.col("passes") * F.col("blocks_there") + F.col("rank"))).alias("last_shard"),
+    drawn = materialize(drawn, "mix-quotas")
+    shares = materialize(split_quotas(drawn.select("skey", "draws"), levels, seed), "mix-shares")
+    passes = F.col("passes") + (F.col("first_word") < F.col("rest")).cast("long")
+    numbers = F.when(passes > 0, F.transform(F.sequence(F.lit(0).cast("long"), F.greatest(passes - 1, F.lit(0).cast("long"))), lambda t: t * F.col("blocks_there") + F.col("rank")))
+    numbered = blocks.join(bounded(drawn.select("skey", "blocks_there"), n_sources), "skey").select("skey", "block", numbers.alias("draws"))
+    blocks = blocks.join(_shards_of(numbered, shares), ["skey", "block"], "left").select(
+        "skey", "block", "source_size", "target", "passes", "rest", "first_word", F.coalesce("shards", F.array().cast("array<int>")).alias("block_shards")
     )
     blocks = materialize(blocks, "mix-plan")
     rows = placed if not carry else _blocked(_sized(docs, list(carry)), per_source, n_sources)
     inside = Window.partitionBy("skey", "block").orderBy("key", "size").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("in_block", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(blocks, ["skey", "block"])
-    partial = F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("first_word") - F.col("in_block"))).cast("long")
-    rows = rows.withColumn("partial", partial).withColumn("local_key", F.md5(F.concat_ws("|", F.lit(str(seed)), "key").cast("binary")))
-    to = F.when(F.col("partial") > 0, F.concat("full_shards", F.array("last_shard"))).otherwise(F.col("full_shards"))
-    draws = F.transform(to, lambda s, i: F.struct(s.alias("shard"), F.xxhash64("local_key", "body", i).alias("place"), (i >= F.col("passes")).alias("partial")))
+    # of the last pass, what lies by its larger part before the rest
+    partial = (F.col("size") > 0) & (2 * (F.col("first_word") + F.col("in_block")) + F.col("size") < 2 * F.col("rest"))
+    rows = rows.withColumn("local_key", F.md5(F.concat_ws("|", F.lit(str(seed)), "key").cast("binary")))
+    to = F.slice("block_shards", F.lit(1), (F.col("passes") + partial.cast("long")).cast("int"))
+    draws = F.transform(to, lambda s, i: F.struct(s.alias("shard"), F.xxhash64("local_key", "body", i).alias("place")))
     rows = rows.withColumn("draws", draws)
 
     def taking(field: str, kind: str) -> Column:
         return F.when(F.col("size") == 0, F.array().cast(kind)).otherwise(F.col("draws")[field])
 
     return rows.select(
-        "doc_id", "source", "size", "source_size", "target", (F.col("passes") * F.col("size") + F.col("partial")).alias("taken"), "passes", "partial", "block",
+        "doc_id", "source", "size", "source_size", "target", (F.col("size") * F.size("draws")).cast("long").alias("taken"), "passes", "block",
         taking("shard", "array<int>").alias("shards"), taking("place", "array<bigint>").alias("places"), "draws", "local_key", *[f"in_{c}" for c in carry],
     )
 
 
+def levels_for(draws: float) -> int:
+    """Levels of the tree that leave about ``SHARD_DOCS`` documents a shard."""
+    return max(4, math.ceil(math.log2(max(1.0, draws / SHARD_DOCS))))
+
+
+@tidied
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The mix as rows of documents: each whole draw repeats its row, a partial one keeps the leading words.
+    """The mix as rows of documents: each draw repeats its row.
 
     Partitions are consecutive stretches of the shards, each in order of its places; large shards have several."""
     names = docs.columns
     got = mix(docs, carry=tuple(names), **options)
-    cut = F.when(
-        F.col("x.partial") & (F.col("partial") < F.col("size")),
-        _leading_words(F.col("in_text"), F.col("partial")),
-    ).otherwise(F.col("in_text"))
-    rows = got.select("*", F.explode("draws").alias("x")).select(
-        F.col("x.shard").alias("shard"), F.col("x.place").alias("place"),
-        *[(cut if c == "text" else F.length(cut).cast("long") if c == "n_chars" else F.col(f"in_{c}")).alias(f"in_{c}") for c in names],
-    )
-    shards = 1 << options.get("shard_levels", 4)
+    rows = got.select("*", F.explode("draws").alias("x")).select("x.shard", "x.place", *[f"in_{c}" for c in names])
+    levels = options.get("shard_levels") or levels_for(docs.count() * options.get("share", 1.5))
+    shards = 1 << levels
     each = max(1, -(-int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) // shards))
     part = F.floor((F.shiftright("place", 32) + (1 << 31)) * each / F.lit(1 << 32))  # the place's stretch of its shard
     laid = rows.repartitionById(shards * each, (F.col("shard") * each + part).cast("int")).sortWithinPartitions("shard", "place")
     return laid.select(*[F.col(f"in_{c}").alias(c) for c in names])
-
-
-def _leading_words(text: Column, n: Column) -> Column:
-    """The text up to the end of its n-th word; only one document of a source is ever cut."""
-    words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
-    return F.array_join(F.slice(words, F.lit(1), n.cast("int")), " ")
