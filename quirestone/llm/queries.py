@@ -83,9 +83,9 @@ WITH RECURSIVE raw AS (
     coalesce(len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0, false) AS ok
   FROM embeddings
 ), v AS (
-  SELECT vec_id, CASE WHEN ok THEN e END AS e FROM raw
+  SELECT vec_id, ok, CASE WHEN ok THEN e ELSE [1.0]::DOUBLE[] END AS e FROM raw
 ), links AS (
-  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.95
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND a.ok AND b.ok AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.95
 ), reach AS (
   SELECT vec_id AS a, vec_id AS b FROM v
   UNION
