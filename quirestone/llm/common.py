@@ -7,6 +7,7 @@ names in ``spark.checkpoint.dir``, so a lost executor never takes the only copy
 from __future__ import annotations
 
 import functools
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -78,6 +79,21 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settled(df: DataFrame, label: str) -> DataFrame:
+    """:func:`materialize`, after which the tables of the shared folder that ``df`` read are deleted."""
+    spark, out = df.sparkSession, materialize(df, label)
+
+    def plain(path: str) -> str:
+        return re.sub(r"^\w+:/+", "/", path)
+
+    root = plain(shared_dir(spark))
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        above, name = path.rsplit("/", 1)
+        if plain(above) == root and re.search(r"-[0-9a-f]{32}$", name):
+            _delete(spark, path)
+    return out
+
+
 def forget(spark: SparkSession, df: DataFrame) -> None:
     """Delete the files of a table made by :func:`materialize` that no later plan reads."""
     for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:

@@ -1,4 +1,4 @@
-"""Elias-Fano coded monotone sequences that are searched where they lie, in memory-mapped files."""
+"""Elias-Fano coded monotone sequences, and runs of successors with pointers to them, that are searched where they lie, in memory-mapped files."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ _MAGIC = 0x51F0
 
 
 def encode(keys: np.ndarray) -> bytes:
-    """A strictly increasing array of non-negative int64 keys as bytes."""
+    """An ascending array of non-negative int64 keys as bytes; those that are searched with ``find`` must differ."""
     n = len(keys)
     first = int(keys[0]) if n else 0
     rest = (keys - first).astype(np.uint64)
@@ -46,6 +46,7 @@ class Sequence:
         self.high = np.frombuffer(buffer, "<u8", words, at + low)
         self.zeros = np.frombuffer(buffer, "<u4", words + 1, at + low + 8 * words)
         self.most_high = words * 64 - self.n
+        self.ones = np.arange(words + 1, dtype=np.int64) * 64 - self.zeros
 
     def _low(self, i: np.ndarray) -> np.ndarray:
         if not self.low_bits:
@@ -67,6 +68,18 @@ class Sequence:
             at += np.where(on, step, 0)
         return at
 
+    def at(self, i: np.ndarray) -> np.ndarray:
+        """The keys at places ``i``."""
+        w = np.searchsorted(self.ones, i, "right") - 1
+        x, r, place = self.high[w], i - self.ones[w], w * 64
+        for step in (32, 16, 8, 4, 2, 1):
+            c = np.bitwise_count(x & np.uint64((1 << step) - 1)).astype(np.int64)
+            on = r >= c
+            r -= np.where(on, c, 0)
+            x = np.where(on, x >> np.uint64(step), x)
+            place += np.where(on, step, 0)
+        return (((place - i) << self.low_bits) | self._low(i).astype(np.int64)) + self.first
+
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Index of each key, or -1."""
         out = np.full(len(keys), -1, np.int64)
@@ -95,3 +108,44 @@ class Sequence:
         hit = there[self._low(lo[there]) == want[there]]
         out[act[hit]] = lo[hit]
         return out
+
+
+def encode_runs(context: np.ndarray, word: np.ndarray) -> bytes:
+    """Successors of contexts, sorted by both: a monotone pointer to the first successor of every context from the first
+    to the last one, then the successors' ids, each run raised above the one before so that all ascend."""
+    first = int(context[0])
+    starts = np.searchsorted(context, np.arange(first, int(context[-1]) + 2))
+    opens = np.concatenate([[0], np.flatnonzero(np.diff(context)) + 1])
+    spans = word[opens[1:] - 1] + 1  # of every run but the last
+    raised = word + np.repeat(np.concatenate([[0], np.cumsum(spans)]), np.diff(np.append(opens, len(word))))
+    pointers = encode(starts)
+    pointers += bytes(-len(pointers) % 8)
+    return np.array([first, len(starts) - 1, len(pointers)], "<i8").tobytes() + pointers + encode(raised)
+
+
+class Runs:
+    """Coded successors over a buffer; ``find`` looks for a word inside its context's run."""
+
+    def __init__(self, buffer):
+        self.first, self.contexts, size = (int(x) for x in np.frombuffer(buffer, "<i8", 3))
+        data = np.frombuffer(buffer, np.uint8)
+        self.pointers, self.words = Sequence(data[24 : 24 + size]), Sequence(data[24 + size :])
+
+    def find(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """Place of each pair, or -1."""
+        out = np.full(len(word), -1, np.int64)
+        if self.contexts == 1:
+            at = np.flatnonzero(context == self.first)
+            out[at] = self.words.find(word[at])
+            return out
+        c = context - self.first
+        at = np.flatnonzero((c >= 0) & (c < self.contexts))
+        begin, end = self.pointers.at(c[at]), self.pointers.at(c[at] + 1)
+        some = begin < end
+        at, begin, end = at[some], begin[some], end[some]
+        base = np.zeros(len(at), np.int64)  # a run begins above the last successor of the run before
+        later = begin > 0
+        base[later] = self.words.at(begin[later] - 1) + 1
+        place = self.words.find(base + word[at])
+        out[at] = np.where((place >= begin) & (place < end), place, -1)
+        return out

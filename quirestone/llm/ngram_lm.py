@@ -2,11 +2,12 @@
 
 Tokens are words between ASCII white space, with A-Z lower-cased, and one end token for each text.
 Level 1 of the trie holds every token of the training fold as a 63-bit hash, in order; a token's id is
-its rank. Level n holds n-grams as ``context * V + id``, where context is the rank of the first n-1
-tokens in level n-1: the successors of a context are one monotone run whose high bits act as pointers.
-A level is a few Elias-Fano files over ranges of keys, written by Spark tasks to the shared folder and
+its rank. Level n holds, for each entry of level n-1 (a context), a monotone pointer to its run of successor
+ids, and the runs, each raised above the one before so that all ids ascend; both are Elias-Fano coded.
+A level is a few files over ranges of (context, id), written by Spark tasks to the shared folder and
 memory-mapped by those that read them, so all workers of a machine share one copy and no model passes
-through the driver. Lookups go down level by level: the rank of a context, then its successor.
+through the driver. Lookups go down level by level: the rank of a context, its pointers, then the successor
+inside their range.
 
 Counts cover all training texts. Higher-order n-grams need a count of ``least`` (2); before level 3 is
 counted, n-grams with a part that isn't in level 2 are left out, which loses none with that count.
@@ -35,18 +36,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .binary_records import file_system
-from .common import doc_hash, even, forget, fresh_path, materialize, only_cache
-from .elias_fano import Sequence, encode
+from .common import doc_hash, even, forget, fresh_path, long_ids, materialize, only_cache, texts_by_id, tidied
+from .elias_fano import Runs, encode_runs
 from .encoding import Generations, filled
 
 DISCOUNT = 0.75
 ALPHA = 0.1
 LEAST = 2
 SHARD_KEYS = 1_000_000
+PAIRS = "context long, word long, n long"
 #: One step of a stored log10 probability; 16 bits reach down to 1e-19.
 STEP = 3e-4
 #: Different words, and tokens, that a task gathers before it sends its counts on.
-WORDS, FLUSH = 1_000_000, 600_000
+WORDS, FLUSH = 600_000, 600_000
 #: Tokens that are scored together (a longer text is scored whole).
 SCORED = 300_000
 
@@ -67,9 +69,10 @@ END_HASH = token_hash(END_TOKEN)
 
 @dataclass
 class Level:
-    """The files of one level: for each shard its first key, the rank of that key, and a name."""
+    """The files of one level: for each shard its first context and id, the rank of that entry, and a name."""
 
-    keys: list[int] = field(default_factory=list)
+    contexts: list[int] = field(default_factory=list)
+    words: list[int] = field(default_factory=list)
     ranks: list[int] = field(default_factory=list)
     names: list[str] = field(default_factory=list)
     n: int = 0
@@ -94,8 +97,8 @@ def _mapped(uri: str, name: str):
 
 
 @functools.lru_cache(maxsize=256)
-def _sequence(uri: str, name: str) -> Sequence:
-    return Sequence(_mapped(uri, name))
+def _runs_of(uri: str, name: str) -> Runs:
+    return Runs(_mapped(uri, name))
 
 
 def _save(uri: str, name: str, data: bytes) -> None:
@@ -110,27 +113,36 @@ class Reader:
 
     def __init__(self, trie: Trie, cache: int = 300_000):
         self.trie, self.cache = trie, Generations(cache)
-        self.end = int(self.ranks(0, np.array([END_HASH]))[0]) if trie.levels else -1
+        self.end = int(self.ranks(0, None, np.array([END_HASH]))[0]) if trie.levels else -1
 
-    def _by_shard(self, level: int, keys: np.ndarray):
+    def _shard(self, level: int, context: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """The shard that would hold each pair (-1: before the first)."""
         lv = self.trie.levels[level]
-        shard = np.searchsorted(np.array(lv.keys, np.int64), keys, "right") - 1
-        for s in np.unique(shard):
-            if s >= 0:
-                yield s, np.flatnonzero(shard == s)
-
-    def ranks(self, level: int, keys: np.ndarray) -> np.ndarray:
-        """Rank of each key in a level, or -1. Keys are looked up once each, in order, which memory likes."""
-        if len(keys) > 1000:
-            uniq, back = np.unique(keys, return_inverse=True)
-            return self._ranks(level, uniq)[back]
-        return self._ranks(level, keys)
-
-    def _ranks(self, level: int, keys: np.ndarray) -> np.ndarray:
-        out = np.full(len(keys), -1, np.int64)
+        contexts, words = np.array(lv.contexts, np.int64), np.array(lv.words, np.int64)
+        shard = np.searchsorted(contexts, context, "right") - 1
+        opens = np.flatnonzero((shard >= 0) & (contexts[shard] == context))  # a shard begins with this context: which word?
+        for c in np.unique(context[opens]):
+            at = opens[context[opens] == c]
+            lo, hi = np.searchsorted(contexts, [c, c + 1])
+            shard[at] = lo - 1 + np.searchsorted(words[lo:hi], word[at], "right")
+        return shard
+
+    def ranks(self, level: int, context: np.ndarray | None, word: np.ndarray) -> np.ndarray:
+        """Rank of each (context, id) in a level, or -1; ``context`` is None for level 1. Pairs are looked up once each, in order, which memory likes."""
+        if context is None:
+            context = np.zeros(len(word), np.int64)
+        if len(word) > 1000:
+            context, word, back = unique_pairs(context, word, self.trie.levels[level - 1].n if level else 1)
+            return self._ranks(level, context, word)[back]
+        return self._ranks(level, context, word)
+
+    def _ranks(self, level: int, context: np.ndarray, word: np.ndarray) -> np.ndarray:
+        out = np.full(len(word), -1, np.int64)
         lv = self.trie.levels[level]
-        for s, at in self._by_shard(level, keys):
-            got = _sequence(self.trie.folder, f"{lv.names[s]}.ef").find(keys[at])
+        shard = self._shard(level, context, word)
+        for s in np.unique(shard[shard >= 0]):
+            at = np.flatnonzero(shard == s)
+            got = _runs_of(self.trie.folder, f"{lv.names[s]}.ef").find(context[at], word[at])
             out[at] = np.where(got >= 0, got + lv.ranks[s], -1)
         return out
 
@@ -141,7 +153,7 @@ class Reader:
         shard = np.searchsorted(np.array(lv.ranks, np.int64), ranks, "right") - 1
         for s in np.unique(shard[ranks >= 0]):
             at = np.flatnonzero((shard == s) & (ranks >= 0))
-            stored = np.frombuffer(_mapped(self.trie.folder, f"{lv.names[s]}.{kind}"), "<u4" if kind == "count" else "<u2")
+            stored = np.frombuffer(_mapped(self.trie.folder, f"{lv.names[s]}.{kind}"), "<u8" if kind == "count" else "<u2")
             out[at] = stored[ranks[at] - lv.ranks[s]]
         return out
 
@@ -151,7 +163,7 @@ class Reader:
         got = list(map(cache.__getitem__, words))
         if cache.ask:
             new = list(cache.ask)
-            ids = self.ranks(0, np.array([token_hash(w) for w in new], np.int64)) if self.trie.levels else np.full(len(new), -1)
+            ids = self.ranks(0, None, np.array([token_hash(w) for w in new], np.int64)) if self.trie.levels else np.full(len(new), -1)
             cache.update(zip(new, ids.tolist()))
             filled(got, words, cache)
         return np.array(got, np.int64)
@@ -166,7 +178,7 @@ class Reader:
         """Rank in level 2 of each pair of ids, -1 where one is missing or the pair is."""
         out = np.full(len(a), -1, np.int64)
         ok = np.flatnonzero((a >= 0) & (b >= 0))
-        out[ok] = self.ranks(1, a[ok] * self.trie.vocabulary + b[ok])
+        out[ok] = self.ranks(1, a[ok], b[ok])
         return out
 
     def probability(self, grams: list[np.ndarray], runs: bool = False) -> np.ndarray:
@@ -184,7 +196,7 @@ class Reader:
         context = np.where(grams[0] >= 0, np.concatenate([[-1], pair[:-1]]), -1) if runs else self._pairs(grams[0], grams[1])
         rank = np.full(len(word), -1, np.int64)
         ok = np.flatnonzero((context >= 0) & (word >= 0))
-        rank[ok] = self.ranks(2, context[ok] * self.trie.vocabulary + word[ok])
+        rank[ok] = self.ranks(2, context[ok], word[ok])
         return self._with_context(score, 1, context, 2, rank)
 
     def _with_context(self, shorter: np.ndarray, level: int, context: np.ndarray, above: int, rank: np.ndarray) -> np.ndarray:
@@ -193,6 +205,25 @@ class Reader:
         return np.where(rank >= 0, -STEP * self.values(above, "prob", rank, 0.0), backed)
 
 
+def unique_pairs(context: np.ndarray, word: np.ndarray, contexts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different pairs in order, and where each pair is among them; ``contexts`` bounds the contexts."""
+    width = int(word.max()) + 1 if len(word) else 1
+    if contexts <= 1:
+        w, back = np.unique(word, return_inverse=True)
+        return np.zeros(len(w), np.int64), w, back
+    if contexts * width < 1 << 63:
+        keys, back = np.unique(context * width + word, return_inverse=True)
+        return keys // width, keys % width, back
+    names, place = np.unique(context, return_inverse=True)  # one number for both wouldn't fit: contexts by their place here
+    place, w, back = unique_pairs(place, word, len(names))
+    return names[place], w, back
+
+
+def counted_pairs(context: np.ndarray, word: np.ndarray, contexts: int) -> pd.DataFrame:
+    context, word, back = unique_pairs(context, word, contexts)
+    return pd.DataFrame({"context": context, "word": word, "n": np.bincount(back, minlength=len(word)).astype(np.int64)})
+
+
 def _steps(p: np.ndarray) -> bytes:
     return np.clip(np.round(-np.log10(np.maximum(p, 1e-30)) / STEP), 0, 65_535).astype("<u2").tobytes()
 
@@ -216,7 +247,7 @@ def _word_counts(texts: DataFrame) -> DataFrame:
         ends = 0
 
         def out():
-            return pd.DataFrame({"key": np.array([token_hash(w) for w in seen], np.int64), "n": np.array(list(seen.values()), np.int64)})
+            return pd.DataFrame({"context": np.int64(0), "word": np.array([token_hash(w) for w in seen], np.int64), "n": np.array(list(seen.values()), np.int64)})
 
         for pdf in batches:
             for text in pdf["text"]:
@@ -226,9 +257,9 @@ def _word_counts(texts: DataFrame) -> DataFrame:
                     yield out()
                     seen.clear()
         yield out()
-        yield pd.DataFrame({"key": [END_HASH], "n": [ends]}).query("n > 0")
+        yield pd.DataFrame({"context": [0], "word": [END_HASH], "n": [ends]}).query("n > 0")
 
-    return texts.mapInPandas(work, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    return texts.mapInPandas(work, PAIRS).groupBy("context", "word").agg(F.sum("n").alias("n"))
 
 
 def _encoded(rows: DataFrame, trie: Trie) -> DataFrame:
@@ -253,7 +284,7 @@ def _encoded(rows: DataFrame, trie: Trie) -> DataFrame:
                 out += [x.tobytes() for x in np.split(data, ends[:-1])]
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "held_out": pdf["held_out"], "ids": out})
 
-    return rows.mapInPandas(work, "doc_id long, held_out boolean, ids binary")
+    return rows.mapInPandas(work, "doc_id string, held_out boolean, ids binary")
 
 
 def id_type(trie: Trie) -> str:
@@ -276,25 +307,22 @@ def _runs(parts: list[bytes], kind: str, size: int) -> tuple[list[np.ndarray], n
 
 
 def _gram_counts(encoded: DataFrame, trie: Trie, size: int) -> DataFrame:
-    """Counts of the keys of level ``size``, n-grams whose parts are in the level before."""
+    """Counts of the entries (context, word) of level ``size``, n-grams whose parts are in the level before."""
     kind = id_type(trie)
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         reader = _reader(trie)
-        v = trie.vocabulary
 
         def counted(parts: list[bytes]) -> pd.DataFrame:
             runs, _ = _runs(parts, kind, size)
             if size == 2:
                 ok = runs[0] >= 0
-                keys, n = np.unique(runs[0][ok] * v + runs[1][ok], return_counts=True)
-                return pd.DataFrame({"key": keys, "n": n})
+                return counted_pairs(runs[0][ok], runs[1][ok], trie.vocabulary)
             # the first pair of a run is the last pair of the run before, so each place's pair is ranked once
             pair = reader._pairs(runs[1], runs[2])
             context = np.where(runs[0] >= 0, np.concatenate([[-1], pair[:-1]]), -1)
             ok = (context >= 0) & (pair >= 0)
-            keys, n = np.unique(context[ok] * v + runs[2][ok], return_counts=True)
-            return pd.DataFrame({"key": keys, "n": n})
+            return counted_pairs(context[ok], runs[2][ok], trie.levels[1].n)
 
         parts, held = [], 0
         for pdf in batches:
@@ -307,38 +335,30 @@ def _gram_counts(encoded: DataFrame, trie: Trie, size: int) -> DataFrame:
         if parts:
             yield counted(parts)
 
-    return encoded.mapInPandas(work, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-
-
-def _sharded(entries: DataFrame, there: int) -> tuple[DataFrame, int]:
-    """``entries`` with ``shard``: ranges of keys of about ``SHARD_KEYS`` entries, at quantiles found by Spark."""
-    shards = max(1, -(-there // SHARD_KEYS))
-    if shards == 1:
-        return entries.withColumn("shard", F.lit(0)), 1
-    cuts = entries.agg(F.expr(f"percentile_approx(key, array({','.join(str(i / shards) for i in range(1, shards))}), 10000)")).first()[0]
-    edges = F.array(*[F.lit(int(c)) for c in sorted(set(cuts))])
-    return entries.withColumn("shard", F.size(F.filter(edges, lambda c: c < F.col("key")))), shards
+    return encoded.mapInPandas(work, PAIRS).groupBy("context", "word").agg(F.sum("n").alias("n"))
 
 
 def _write_level(entries: DataFrame, there: int, trie: Trie, value) -> Level:
-    """Write the Elias-Fano files of ``entries(key, n)``; ``value(keys, n)`` gives the bytes of their values by kind."""
-    sharded, _ = _sharded(entries, there)
+    """Write the files of ``entries(context, word, n)``, about ``SHARD_KEYS`` entries each; ``value(context, word, n)`` gives the bytes of their values by kind."""
     folder = trie.folder
 
-    def work(pdf: pd.DataFrame) -> pd.DataFrame:
-        keys, n = pdf["key"].to_numpy(), pdf["n"].to_numpy()
-        order = np.argsort(keys, kind="stable")
-        keys, n = keys[order], n[order]
-        name = f"level-{uuid.uuid4().hex}"
-        _save(folder, f"{name}.ef", encode(keys))
-        for kind, data in value(keys, n).items():
-            _save(folder, f"{name}.{kind}", data)
-        return pd.DataFrame({"key": [keys[0]], "n": [len(keys)], "name": [name]})
-
-    files = materialize(sharded.groupBy("shard").applyInPandas(work, "key long, n long, name string"), "lm-level")
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts = [p for p in batches if len(p)]
+        if parts:
+            context, word, n = (np.concatenate([p[c].to_numpy() for p in parts]) for c in ("context", "word", "n"))
+            parts.clear()
+            name = f"level-{uuid.uuid4().hex}"
+            _save(folder, f"{name}.ef", encode_runs(context, word))
+            for kind, data in value(context, word, n).items():
+                _save(folder, f"{name}.{kind}", data)
+            yield pd.DataFrame({"context": context[:1], "word": word[:1], "n": [len(n)], "name": [name]})
+
+    ranges = entries.repartitionByRange(max(1, -(-there // SHARD_KEYS)), "context", "word").sortWithinPartitions("context", "word")
+    files = materialize(ranges.mapInPandas(work, f"{PAIRS}, name string"), "lm-level")
     level = Level()
-    for r in files.orderBy("key").collect():  # one row for each shard
-        level.keys.append(r["key"])
+    for r in files.orderBy("context", "word").collect():  # one row for each shard
+        level.contexts.append(r["context"])
+        level.words.append(r["word"])
         level.ranks.append(level.n)
         level.names.append(r["name"])
         level.n += r["n"]
@@ -348,11 +368,14 @@ def _write_level(entries: DataFrame, there: int, trie: Trie, value) -> Level:
 def _write_left(trie: Trie, level: int, kept: DataFrame, counts) -> None:
     """Write, beside each shard of a level, the mass that the kept successors of each entry leave.
 
-    ``kept(key, n)`` is the next level; ``counts(reader, ranks)`` gives the counts of contexts."""
-    lv, v, folder = trie.levels[level], trie.vocabulary, trie.folder
-    taken = kept.groupBy(F.expr(f"key div {v}").alias("rank")).agg(F.sum(F.col("n") - DISCOUNT).alias("mass"))
-    edges = F.array(*[F.lit(int(r)) for r in lv.ranks])
-    taken = taken.withColumn("shard", F.size(F.filter(edges, lambda c: c <= F.col("rank"))) - 1)
+    ``kept(context, word, n)`` is the next level; ``counts(reader, ranks)`` gives the counts of contexts."""
+    lv, folder, starts = trie.levels[level], trie.folder, np.array(trie.levels[level].ranks, np.int64)
+
+    @F.pandas_udf("int")
+    def shard_of(rank: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(starts, rank.to_numpy(), "right") - 1)
+
+    taken = kept.groupBy(F.col("context").alias("rank")).agg(F.sum(F.col("n") - DISCOUNT).alias("mass")).withColumn("shard", shard_of("rank"))
     sizes = [b - a for a, b in zip(lv.ranks, [*lv.ranks[1:], lv.n])]
 
     def work(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -369,7 +392,7 @@ def _write_left(trie: Trie, level: int, kept: DataFrame, counts) -> None:
     materialize(taken.union(every).groupBy("shard").applyInPandas(work, "shard int"), "lm-left")
 
 
-def train(rows: DataFrame, order: int = 3) -> tuple[Trie, DataFrame]:
+def train(rows: DataFrame, order: int = 3, least: int = LEAST) -> tuple[Trie, DataFrame]:
     """A trie of up to three levels over the texts of ``rows(doc_id, text, held_out)`` that aren't held out, and all rows as ids."""
     if order not in (2, 3):
         raise ValueError("order must be 2 or 3")
@@ -379,11 +402,11 @@ def train(rows: DataFrame, order: int = 3) -> tuple[Trie, DataFrame]:
     got = words.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
     trie.total, trie.vocabulary = int(got["n"] or 0), int(got["v"])
     if trie.total:
-        trie.levels.append(_write_level(words, trie.vocabulary, trie, lambda keys, n: {"count": n.astype("<u4").tobytes()}))
+        trie.levels.append(_write_level(words, trie.vocabulary, trie, lambda context, word, n: {"count": n.astype("<u8").tobytes()}))
     forget(spark, words)
     encoded = materialize(_encoded(rows, trie), "lm-ids")
     for size in range(2, order + 1 if trie.total else 2):
-        kept = materialize(_gram_counts(encoded.filter("not held_out").select("ids"), trie, size).filter(F.col("n") >= LEAST), "lm-grams")
+        kept = materialize(_gram_counts(encoded.filter("not held_out").select("ids"), trie, size).filter(F.col("n") >= least), "lm-grams")
         there = kept.count()
         if not there:
             break
@@ -393,10 +416,8 @@ def train(rows: DataFrame, order: int = 3) -> tuple[Trie, DataFrame]:
 
         _write_left(trie, size - 2, kept, context_counts)
 
-        def value(keys: np.ndarray, n: np.ndarray, size: int = size, now: Trie = trie) -> dict[str, bytes]:
+        def value(context: np.ndarray, word: np.ndarray, n: np.ndarray, size: int = size, now: Trie = trie) -> dict[str, bytes]:
             reader = Reader(now)
-            v = now.vocabulary
-            context, word = keys // v, keys % v
             total = reader.values(size - 2, "count", context, 1.0)
             left = 10 ** (-STEP * reader.values(size - 2, "left", context, 0.0))
             if size == 2:
@@ -404,7 +425,7 @@ def train(rows: DataFrame, order: int = 3) -> tuple[Trie, DataFrame]:
             else:
                 shorter = reader.probability([_second_of(reader, context), word])
             p = (n - DISCOUNT) / total + left * 10**shorter
-            return {"prob": _steps(p), "count": np.minimum(n, 2**32 - 1).astype("<u4").tobytes(), "second": word.astype("<u4" if v < 2**32 else "<u8").tobytes()}
+            return {"prob": _steps(p), "count": n.astype("<u8").tobytes(), "second": word.astype("<u4" if now.vocabulary < 2**32 else "<u8").tobytes()}
 
         trie.levels.append(_write_level(kept, there, trie, value))
         forget(spark, kept)
@@ -423,11 +444,12 @@ def _second_of(reader: Reader, ranks: np.ndarray) -> np.ndarray:
     return out
 
 
-def scored(docs: DataFrame, order: int = 3, folds: int = 10) -> DataFrame:
+@tidied
+def scored(docs: DataFrame, order: int = 3, folds: int = 10, least: int = LEAST) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for each row."""
-    rows = even(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")))
+    rows = even(texts_by_id(docs))
     rows = rows.withColumn("held_out", doc_hash("doc_id") % folds == 0)
-    trie, encoded = train(rows, order)
+    trie, encoded = train(rows, order, least)
     kind = id_type(trie)
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -448,4 +470,4 @@ def scored(docs: DataFrame, order: int = 3, folds: int = 10) -> DataFrame:
                 })
                 lo = hi
 
-    return encoded.mapInPandas(work, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return long_ids(encoded.mapInPandas(work, "doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"))
