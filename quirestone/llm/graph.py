@@ -7,6 +7,7 @@ harmless: the minimum per vertex is a partial aggregate, joined back, never a co
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,3 +48,19 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     else:
         raise RuntimeError("components did not settle")
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+
+
+def forest(links: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
+    """Edges that connect what a boolean matrix of links connects."""
+    rows, cols = np.flatnonzero(links.any(1)), np.flatnonzero(links.any(0))
+    if not len(rows):
+        return []
+    m = links[np.ix_(rows, cols)]
+    la, lb, big = a[rows].copy(), b[cols].copy(), np.iinfo(np.int64).max
+    while True:
+        to_b = np.minimum(lb, np.where(m, la[:, None], big).min(0))
+        to_a = np.minimum(la, np.where(m, to_b[None], big).min(1))
+        if (to_b == lb).all() and (to_a == la).all():
+            break
+        la, lb = to_a, to_b
+    return [(x, y) for x, y in zip(a[rows], la) if x != y] + [(x, y) for x, y in zip(b[cols], lb) if x != y]

@@ -10,12 +10,14 @@ agree in a coordinate with probability equal to their weighted Jaccard similarit
 
 Documents with the same words form a class, which is the graph's node and is represented by its smallest
 id; ids only choose, so texts under a null or repeated id stay apart. The representatives' bands
-(25 of 5 rows: a pair at similarity 0.8 is missed with probability 5e-5) make buckets. Each bucket is
-linked as a star to its smallest node, never as all pairs; candidate pairs are sieved by their
-signatures and then verified exactly on whole texts. Where a bucket still spans several components, its
-members outside its largest component are compared with all its members by signature, tile by tile. Each one's
-nearest in every other component is verified first, then, under the components by then, the next nearest,
-until every pair of a bucket that passes the sieve is verified or in one component.
+(25 of 5 rows: a pair at similarity 0.8 is missed with probability 5e-5) make buckets. Links are sought in
+three steps, each under the components of the one before, and none of them makes all pairs of a bucket:
+
+1. stars: a representative and its few smallest bucket centres are verified exactly on whole texts;
+2. nearest: in buckets that span several components, the members outside the largest one are compared with all
+   members by signature, tile by tile, and each one's nearest in another component is verified;
+3. the rest: in buckets where more partners passed the sieve, every pair across components that passes it is
+   verified inside the tile, on whole multisets of runs, by one matrix product; only a forest of the links leaves.
 
 Defined cases: null text is empty; texts without words form one class; rows that repeat are members of
 their class; null ids stay null and sort before all others; of one id's texts in a component that is
@@ -36,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from .common import even, forget, materialize, only_cache, tidied
-from .graph import components
+from .graph import components, forest
 
 WIDTH = 5
 BANDS, ROWS = 25, 5
@@ -44,7 +46,8 @@ K = BANDS * ROWS
 SIMILARITY = 0.8
 #: Signature agreement under which a pair isn't verified: 4.2 standard deviations under 0.8.
 SIEVE = 0.65
-TILE = 512
+#: Rows, and units, of one side of a tile.
+TILE, UNITS = 1024, 4_000_000
 #: Centres that a representative is verified against at first.
 CENTRES = 4
 NO_ID = -(1 << 62)
@@ -88,16 +91,47 @@ def shingles(text: str | None, width: int = WIDTH) -> tuple[np.ndarray, np.ndarr
     return np.unique(mix(out), return_counts=True)
 
 
-def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    """Weighted Jaccard similarity of two sorted distinct arrays with counts; 1 for two empty ones."""
-    if not len(a[0]) and not len(b[0]):
+def units(text: str | None) -> np.ndarray:
+    """Sorted hashes of the runs with the number of their occurrence: the Jaccard similarity of two texts' units is the
+    weighted one of their runs."""
+    elements, n = shingles(text)
+    again = np.flatnonzero(n > 1)
+    if not len(again):
+        return elements
+    nth = np.concatenate([np.arange(1, k) for k in n[again]]).astype(np.uint64)
+    with np.errstate(over="ignore"):
+        more = mix(np.repeat(elements[again], n[again] - 1) + nth * _U(0x8CB92BA72F3D8DD7))
+    return np.sort(np.concatenate([elements, more]))
+
+
+def similarity(a: np.ndarray, b: np.ndarray) -> float:
+    """Jaccard similarity of two sorted distinct arrays; 1 for two empty ones."""
+    if not len(a) and not len(b):
         return 1.0
-    both, n = np.concatenate([a[0], b[0]]), np.concatenate([a[1], b[1]])
-    order = np.argsort(both, kind="stable")
-    both, n = both[order], n[order]
-    twice = np.flatnonzero(both[1:] == both[:-1])
-    shared = int(np.minimum(n[twice], n[twice + 1]).sum())
-    return shared / (int(n.sum()) - shared)
+    both = np.concatenate([a, b])
+    both.sort()
+    shared = int((both[1:] == both[:-1]).sum())
+    return shared / (len(both) - shared)
+
+
+def shared_units(a: list[np.ndarray], b: list[np.ndarray], width: int = 16_384) -> np.ndarray:
+    """How many units each of ``a`` shares with each of ``b``: products of 0/1 matrices over ``width`` units at a time."""
+    flat = np.concatenate([*a, *b])
+    owner = np.repeat(np.arange(len(a) + len(b)), [len(x) for x in (*a, *b)])
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+    opens = np.concatenate([[True], flat[1:] != flat[:-1]])
+    times = np.diff(np.append(np.flatnonzero(opens), len(flat)))
+    common = np.repeat(times > 1, times)  # what one text has alone is shared with none
+    column, owner = (np.cumsum(opens) - 1)[common], owner[common]
+    column = np.cumsum(np.concatenate([[0], np.diff(column) > 0])) if len(column) else column
+    out = np.zeros((len(a), len(b)))
+    for lo in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        at = slice(*np.searchsorted(column, [lo, lo + width]))
+        block = np.zeros((len(a) + len(b), width), np.float32)
+        block[owner[at], column[at] - lo] = 1
+        out += block[: len(a)] @ block[len(a) :].T
+    return out
 
 
 def signatures(elements: list[np.ndarray], weights: list[np.ndarray] | None = None, k: int = K) -> np.ndarray:
@@ -203,8 +237,8 @@ def text_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     out = []
     for x, y in zip(a, b):
         if x is not last:
-            last, s = x, shingles(x)
-        out.append(similarity(s, shingles(y)))
+            last, s = x, units(x)
+        out.append(similarity(s, units(y)))
     return pd.Series(out, dtype=float)
 
 
@@ -219,67 +253,124 @@ def _verified(pairs: DataFrame, sigs: DataFrame, texts: DataFrame) -> DataFrame:
     return materialize(likely.join(right, "b").join(left, "a").select("a", "b", (text_similarity("text_b", "text_a") >= SIMILARITY).alias("linked")), "near-links")
 
 
-def _across(members: DataFrame, most: int) -> DataFrame:
-    """Pairs of members of one bucket in different components, one of them ``outside`` the bucket's largest: for each such
-    member and other component, the ``most`` nearest by signature. ``cut`` says that it has further partners there that pass the sieve.
-
-    Rows travel in tiles: outside members by ``i`` to every tile ``j`` of all members, and these to every ``i``."""
+def _unsettled(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Members of the buckets that span several components of ``found``, with ``component`` and whether that is ``outside`` the bucket's largest."""
+    placed = members.join(found.withColumnRenamed("node", "id"), "id", "left").select("h", "id", F.coalesce("component", "id").alias("component"))
+    placed = materialize(placed, "near-placed")
+    largest = placed.groupBy("h", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("h").agg(F.max(F.struct("n", "component")).alias("x"), F.sum("n").alias("all"))
+    largest = materialize(largest.filter("all > x.n").select("h", F.col("x.component").alias("largest")), "near-open")
+    return materialize(placed.join(largest, "h").withColumn("outside", F.col("component") != F.col("largest")).drop("largest"), "near-unsettled")
 
-    def tile(n: str):
-        return F.ceil(F.col(n) / TILE).cast("int")
 
-    m = members.withColumn("rows", tile("n_outside")).withColumn("columns", tile("members")).withColumn("x", F.xxhash64("id"))
+def _tiles(unsettled: DataFrame, data: DataFrame, name: str, most: int, rows: int = TILE) -> DataFrame:
+    """Rows of ``unsettled`` with ``name`` of ``data(id, name, size)``, in tiles (h, i, j): outside members (``asks``) of tile ``i`` of theirs
+    against members of tile ``j``, each of about ``rows`` rows and ``most`` of size."""
+    size = F.col("size").cast("double") / most + F.lit(1.0 / rows)
+    u = unsettled.join(data.select("id", "size"), "id")
+    n = u.groupBy("h").agg(F.ceil(F.sum(F.when(F.col("outside"), size).otherwise(0.0))).cast("int").alias("rows"), F.ceil(F.sum(size)).cast("int").alias("columns"))
+    m = u.drop("size").join(materialize(n, "near-tiles"), "h").join(data.select("id", name), "id").withColumn("x", F.xxhash64("id"))
     i, j = F.pmod("x", F.col("rows")).cast("int"), F.pmod("x", F.col("columns")).cast("int")
     met = F.transform(F.sequence(F.lit(0), F.col("rows") - 1), lambda k: F.struct(k.alias("i"), j.alias("j"), F.lit(False).alias("asks")))
     asks = F.transform(F.sequence(F.lit(0), F.col("columns") - 1), lambda k: F.struct(i.alias("i"), k.alias("j"), F.lit(True).alias("asks")))
-    m = m.select("h", "id", "component", "sig", F.explode(F.when(F.col("outside"), F.concat(met, asks)).otherwise(met)).alias("t")).select("h", "t.*", "id", "component", "sig")
+    keep = ["h", "id", "component", "outside", name]
+    return m.select(*keep, F.explode(F.when(F.col("outside"), F.concat(met, asks)).otherwise(met)).alias("t")).select("t.*", *keep)
+
+
+class _Compared:
+    """A tile's asking rows and members by signature; ``of(i)`` are the members in other components that pass the sieve with row ``i``."""
+
+    def __init__(self, pdf: pd.DataFrame):
+        self.ids, self.component = pdf["id"].to_numpy(), pdf["component"].to_numpy()
+        asks = pdf["asks"].to_numpy()
+        self.sig = np.frombuffer(b"".join(pdf["sig"]), np.uint32).reshape(len(pdf), -1)
+        self.asking, self.members = np.flatnonzero(asks), np.flatnonzero(~asks)
+        # one byte of a coordinate refuses most; agreement there is at least that of the whole
+        self.low = self.sig.astype(np.uint8)
+        self.low_members, self.theirs = self.low[self.members], self.component[self.members]
+
+    def of(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        """(places, agreement)."""
+        same = (self.low_members == self.low[i]).sum(1, dtype=np.uint8)
+        at = self.members[(same >= SIEVE * K) & (self.theirs != self.component[i])]
+        near = (self.sig[at] == self.sig[i]).mean(axis=1)
+        return at[near >= SIEVE], near[near >= SIEVE]
+
+
+def _nearest(tiles: DataFrame) -> DataFrame:
+    """(h, a, b, more): each asking row's nearest partner in its tile, and whether there are more."""
 
     def work(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("id", ignore_index=True)
-        sig = np.frombuffer(b"".join(pdf["sig"]), np.uint32).reshape(len(pdf), -1)
-        comp, ids, asks = pdf["component"].to_numpy(), pdf["id"].to_numpy(), pdf["asks"].to_numpy()
-        out = []
-        for i in np.flatnonzero(asks):
-            at = np.flatnonzero(~asks & (comp != comp[i]))
-            near = (sig[at] == sig[i]).mean(axis=1)
-            at, near = at[near >= SIEVE], near[near >= SIEVE]
-            order = np.lexsort((ids[at], -near, comp[at]))
-            at = at[order]
-            _, first, n = np.unique(comp[at], return_index=True, return_counts=True)
-            place = np.arange(len(at)) - np.repeat(first, n)
-            cut = bool((n > most).any())
-            out += [(pdf["h"].iat[0], max(ids[i], ids[j]), min(ids[i], ids[j]), cut) for j in at[place < most]]
-        return pd.DataFrame(out, columns=["h", "a", "b", "cut"]).astype({"h": "int64", "a": "int64", "b": "int64", "cut": "bool"})
-
-    return m.groupBy("h", "i", "j").applyInPandas(work, "h long, a long, b long, cut boolean")
+        tile, out = _Compared(pdf), []
+        ids = tile.ids
+        for i in tile.asking:
+            at, near = tile.of(i)
+            if len(at):
+                best = at[np.lexsort((ids[at], -near))[0]]
+                out.append((pdf["h"].iat[0], max(ids[i], ids[best]), min(ids[i], ids[best]), len(at) > 1))
+        return pd.DataFrame(out, columns=["h", "a", "b", "more"]).astype({"h": "int64", "a": "int64", "b": "int64", "more": "bool"})
+
+    return tiles.groupBy("h", "i", "j").applyInPandas(work, "h long, a long, b long, more boolean")
+
+
+def _live(tiles: DataFrame) -> DataFrame:
+    """(h, id, component, outside) of the members of pairs across components that pass the sieve and share no earlier band."""
+
+    def work(pdf: pd.DataFrame) -> pd.DataFrame:
+        tile, h = _Compared(pdf), pdf["h"].iat[0]
+        band = int(np.argmax(band_keys(tile.sig[:1])[0] == h))
+        flagged = np.zeros(len(pdf), bool)
+        for i in tile.asking:
+            at, _ = tile.of(i)
+            if len(at) and band:
+                before = (tile.sig[at, : band * ROWS] == tile.sig[i, : band * ROWS]).reshape(len(at), band, ROWS)
+                at = at[~before.all(axis=2).any(axis=1)]
+            flagged[at] = True
+            flagged[i] |= len(at) > 0
+        return pdf.loc[flagged, ["h", "id", "component", "outside"]]
+
+    return tiles.groupBy("h", "i", "j").applyInPandas(work, "h long, id long, component long, outside boolean").distinct()
+
+
+def _exact(tiles: DataFrame) -> DataFrame:
+    """(a, b): a forest of each tile's links across components."""
+
+    def work(pdf: pd.DataFrame) -> pd.DataFrame:
+        ids, component, asks = pdf["id"].to_numpy(), pdf["component"].to_numpy(), pdf["asks"].to_numpy()
+        have = [np.frombuffer(x, np.uint64) for x in pdf["units"]]
+        size = np.array([len(x) for x in have])
+        a, b = np.flatnonzero(asks), np.flatnonzero(~asks)
+        if not len(a) or not len(b):
+            return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
+        shared = shared_units([have[i] for i in a], [have[i] for i in b])
+        links = (shared / (size[a][:, None] + size[b] - shared) >= SIMILARITY) & (component[a][:, None] != component[b])
+        return pd.DataFrame(forest(links, ids[a], ids[b]), columns=["a", "b"]).astype("int64")
+
+    return tiles.groupBy("h", "i", "j").applyInPandas(work, "a long, b long")
 
 
 def _settled(members: DataFrame, sigs: DataFrame, texts: DataFrame, tried: DataFrame) -> DataFrame:
-    """(node, component) once no pair of ``members(h, id, members)`` that passes the sieve is both apart and untried.
-
-    ``tried(a, b, linked)`` are the verified pairs. The first round tries each member's nearest in every
-    other component; buckets in which that left partners out come again, under the components by then and
-    with more partners a member, until nothing is left out."""
-    found = materialize(components(tried.filter("linked").select("a", "b")), "near-found")
-    most = 1
-    while True:
-        # buckets that still hold several components; signatures travel for their members only
-        placed = members.join(found.withColumnRenamed("node", "id"), "id", "left").select("h", "id", "members", F.coalesce("component", "id").alias("component"))
-        placed = materialize(placed, "near-placed")
-        largest = placed.groupBy("h", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("h").agg(F.max(F.struct("n", "component")).alias("x"), F.sum("n").alias("all"))
-        largest = materialize(largest.filter("all > x.n").select("h", F.col("x.component").alias("largest"), (F.col("all") - F.col("x.n")).alias("n_outside")), "near-open")
-        unsettled = materialize(placed.join(largest, "h").withColumn("outside", F.col("component") != F.col("largest")).drop("largest"), "near-unsettled")
-        across = materialize(_across(unsettled.join(sigs, "id"), most), "near-across")
-        fresh = across.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
-        more = _verified(fresh, sigs, texts)
-        if more.filter("linked").head(1):
-            found = materialize(components(tried.union(more).filter("linked").select("a", "b")), "near-found")
-        tried = tried.union(more)
-        again = across.filter("cut").select("h").distinct()
-        if not again.head(1):
-            return found
-        members = materialize(unsettled.select("h", "id", "members").join(again, "h"), "near-again")
-        most *= 16
+    """(node, component) once no pair of ``members(h, id)`` that passes the sieve is both apart and unverified; ``tried(a, b, linked)`` are the stars."""
+
+    @F.pandas_udf("binary")
+    def units_of(t: pd.Series) -> pd.Series:
+        only_cache("minhash", _WORDS.clear)
+        return pd.Series([units(x).tobytes() for x in t], dtype=object)
+
+    links = tried.filter("linked").select("a", "b")
+    found = materialize(components(links), "near-found")
+    signed = sigs.withColumn("size", F.lit(1))
+    near = materialize(_nearest(_tiles(_unsettled(members, found), signed, "sig", 1 << 40)), "near-nearest")
+    more = near.filter("more").select("h").distinct()
+    fresh = near.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
+    links = links.union(_verified(fresh, sigs, texts).filter("linked").select("a", "b"))
+    found = materialize(components(links), "near-found")
+    live = materialize(_live(_tiles(_unsettled(members.join(more, "h"), found), signed, "sig", 1 << 40)), "near-live")
+    sets = texts.join(live.select("id").distinct(), "id").select("id", units_of("text").alias("units"))
+    sets = materialize(sets.withColumn("size", F.length("units") / 8), "near-units")
+    rest = materialize(_exact(_tiles(live, sets, "units", UNITS)), "near-rest")
+    if not rest.head(1):
+        return found
+    return materialize(components(links.union(rest)), "near-found")
 
 
 def _mark(text: str) -> Column:
@@ -310,7 +401,7 @@ def _grouped(docs: DataFrame) -> DataFrame:
     stars = materialize(stars.filter(F.col("n") <= CENTRES).select("a", "b"), "near-stars")
     tried = _verified(stars, sigs, texts)
     forget(spark, stars)
-    found = _settled(members.select("h", "id", "members"), sigs, texts, tried)
+    found = _settled(members.select("h", "id"), sigs, texts, tried)
 
     # the component's row of the smallest id names it and is kept
     linked = materialize(classes.select("node", "class_id", "mark").join(found, "node"), "near-linked")

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize, tidied
-from .graph import components
+from .graph import components, forest
 from .vectors import SAMPLE_ROWS, k_means, main_size, nearest, read_vectors, sample, stacked
 
 THRESHOLD = 0.95
@@ -84,22 +84,6 @@ class Index:
         return np.maximum(total, 0)
 
 
-def _forest(links: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
-    """Edges that connect what a boolean matrix of links connects."""
-    rows, cols = np.flatnonzero(links.any(1)), np.flatnonzero(links.any(0))
-    if not len(rows):
-        return []
-    m = links[np.ix_(rows, cols)]
-    la, lb, big = a[rows].copy(), b[cols].copy(), np.iinfo(np.int64).max
-    while True:
-        to_b = np.minimum(lb, np.where(m, la[:, None], big).min(0))
-        to_a = np.minimum(la, np.where(m, to_b[None], big).min(1))
-        if (to_b == lb).all() and (to_a == la).all():
-            break
-        la, lb = to_a, to_b
-    return [(x, y) for x, y in zip(a[rows], la) if x != y] + [(x, y) for x, y in zip(b[cols], lb) if x != y]
-
-
 def _tiles(placed: DataFrame, sizes: DataFrame) -> DataFrame:
     """Members and visitors of each list in tiles (list, i, j): member tile i against visitor tile j, or member tile j when ``own``."""
     k = F.ceil(F.col("members") / MEMBERS).cast("int")
@@ -207,7 +191,7 @@ def linked(emb: DataFrame, threshold: float = THRESHOLD, lists: int | None = Non
             count = np.zeros(len(pdf), np.int64)
             count[visitors] += links @ n[members]
             count[members] += n[visitors] @ links
-            edges = _forest(links, ids[visitors], ids[members])
+            edges = forest(links, ids[visitors], ids[members])
             has = np.flatnonzero(count)
             return pd.DataFrame({
                 "id": np.concatenate([ids[has], np.array([e[0] for e in edges], np.int64)]),

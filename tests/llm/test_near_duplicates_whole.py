@@ -66,7 +66,8 @@ def test_how_often_runs_occur_counts(spark):
 
 
 def test_large_buckets_in_tiles(spark, monkeypatch):
-    monkeypatch.setattr(minhash, "TILE", 8)
+    whole = minhash._tiles
+    monkeypatch.setattr(minhash, "_tiles", lambda u, d, name, most: whole(u, d, name, most, rows=8))
     rows, want = [], {}
     for c, seed in enumerate((0, 13, 20)):
         texts = cluster(seed, 40)
@@ -74,3 +75,12 @@ def test_large_buckets_in_tiles(spark, monkeypatch):
         want |= {100 * c + i: 100 * c + x for i, x in enumerate(brute(texts))}
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert {r["doc_id"]: r["component_id"] for r in minhash.groups(docs).collect()} == want
+
+
+def test_products_count_shared_units():
+    texts = ["a b c d e f g " * 4, "a b c d e f g " * 3, "x y", "x y", "", "a b c d e f q r s t"] + cluster(3, 6)
+    u = [minhash.units(t) for t in texts]
+    bag = [Counter(tuple(t.split()[i : i + 5]) for i in range(max(1, len(t.split()) - 4))) if t else Counter() for t in texts]
+    want = [[(x & y).total() for y in bag[2:]] for x in bag]
+    assert minhash.shared_units(u, u[2:], 7).tolist() == minhash.shared_units(u, u[2:]).tolist() == want
+    assert [len(x) for x in u] == [x.total() for x in bag]
