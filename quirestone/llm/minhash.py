@@ -28,7 +28,7 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -64,7 +64,8 @@ def mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> _U(31))
 
 
-_WORDS: dict[str, int] = {}
+#: Hashes of words, as 8 bytes each, which join faster than whole numbers.
+_WORDS: dict[str, bytes] = {}
 
 
 def word_hashes(words: list[str]) -> np.ndarray:
@@ -74,8 +75,8 @@ def word_hashes(words: list[str]) -> np.ndarray:
     if None in got:
         for i, g in enumerate(got):
             if g is None:
-                got[i] = _WORDS[words[i]] = xxhash.xxh3_64_intdigest(words[i])
-    return np.array(got, dtype=np.uint64)
+                got[i] = _WORDS[words[i]] = xxhash.xxh3_64_digest(words[i])
+    return np.frombuffer(b"".join(got), ">u8").astype(np.uint64)
 
 
 def shingles(text: str | None, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
@@ -200,7 +201,7 @@ def sketch(docs: DataFrame) -> DataFrame:
             texts = pdf["text"].tolist()
             while lo < len(texts):
                 sets, counts, keys, size, hi = [], [], [], 0, lo
-                while hi < len(texts) and size < 400_000:
+                while hi < len(texts) and size < 800_000:
                     words = (texts[hi] or "").lower().split()
                     keys.append(hashlib.blake2b(" ".join(words).encode("utf-8", "surrogatepass"), digest_size=16).digest())
                     elements, n = shingles(texts[hi])
@@ -279,10 +280,9 @@ def _tiles(unsettled: DataFrame, data: DataFrame, name: str, most: int, rows: in
 class _Compared:
     """A tile's asking rows and members by signature; ``of(i)`` are the members in other components that pass the sieve with row ``i``."""
 
-    def __init__(self, pdf: pd.DataFrame):
-        self.ids, self.component = pdf["id"].to_numpy(), pdf["component"].to_numpy()
-        asks = pdf["asks"].to_numpy()
-        self.sig = np.frombuffer(b"".join(pdf["sig"]), np.uint32).reshape(len(pdf), -1)
+    def __init__(self, rows: dict[str, np.ndarray]):
+        self.ids, self.component, asks = rows["id"], rows["component"], rows["asks"].astype(bool)
+        self.sig = np.frombuffer(b"".join(rows["sig"]), np.uint32).reshape(len(asks), -1)
         self.asking, self.members = np.flatnonzero(asks), np.flatnonzero(~asks)
         # one byte of a coordinate refuses most; agreement there is at least that of the whole
         self.low = self.sig.astype(np.uint8)
@@ -296,29 +296,58 @@ class _Compared:
         return at[near >= SIEVE], near[near >= SIEVE]
 
 
+def _by_tile(tiles: DataFrame, work: Callable[[dict[str, np.ndarray]], dict[str, np.ndarray]], schema: str) -> DataFrame:
+    """``work`` on the columns of each tile (h, i, j), as arrays; there are many small tiles, so a partition's are cut apart here."""
+    names = [x.split()[0] for x in schema.split(", ")]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: pd.DataFrame | None = None
+
+        def done(pdf: pd.DataFrame, ends: np.ndarray) -> pd.DataFrame:
+            columns = {c: pdf[c].to_numpy() for c in pdf.columns}
+            out = [work({c: v[lo:hi] for c, v in columns.items()}) for lo, hi in zip(np.concatenate([[0], ends[:-1]]), ends)]
+            return pd.DataFrame({c: np.concatenate([x[c] for x in out]) for c in names})
+
+        for pdf in batches:
+            if held is not None:
+                pdf = pd.concat([held, pdf], ignore_index=True)
+            key = pdf[["h", "i", "j"]].to_numpy()
+            ends = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
+            if len(ends):
+                yield done(pdf, ends)
+                pdf = pdf.iloc[ends[-1] :]
+            held = pdf
+        if held is not None and len(held):
+            yield done(held, np.array([len(held)]))
+
+    return tiles.repartition("h", "i", "j").sortWithinPartitions("h", "i", "j").mapInPandas(run, schema)
+
+
 def _nearest(tiles: DataFrame) -> DataFrame:
     """(h, a, b, more): each asking row's nearest partner in its tile, and whether there are more."""
 
-    def work(pdf: pd.DataFrame) -> pd.DataFrame:
-        tile, out = _Compared(pdf), []
-        ids = tile.ids
+    def work(rows: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        tile = _Compared(rows)
+        ids, pairs, more = tile.ids, [], []
         for i in tile.asking:
             at, near = tile.of(i)
             if len(at):
                 best = at[np.lexsort((ids[at], -near))[0]]
-                out.append((pdf["h"].iat[0], max(ids[i], ids[best]), min(ids[i], ids[best]), len(at) > 1))
-        return pd.DataFrame(out, columns=["h", "a", "b", "more"]).astype({"h": "int64", "a": "int64", "b": "int64", "more": "bool"})
+                pairs.append((ids[i], ids[best]))
+                more.append(len(at) > 1)
+        both = np.array(pairs, np.int64).reshape(-1, 2)
+        return {"h": np.repeat(rows["h"][:1], len(both)), "a": both.max(axis=1), "b": both.min(axis=1), "more": np.array(more, bool)}
 
-    return tiles.groupBy("h", "i", "j").applyInPandas(work, "h long, a long, b long, more boolean")
+    return _by_tile(tiles, work, "h long, a long, b long, more boolean")
 
 
 def _live(tiles: DataFrame) -> DataFrame:
     """(h, id, component, outside) of the members of pairs across components that pass the sieve and share no earlier band."""
 
-    def work(pdf: pd.DataFrame) -> pd.DataFrame:
-        tile, h = _Compared(pdf), pdf["h"].iat[0]
-        band = int(np.argmax(band_keys(tile.sig[:1])[0] == h))
-        flagged = np.zeros(len(pdf), bool)
+    def work(rows: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        tile = _Compared(rows)
+        band = int(np.argmax(band_keys(tile.sig[:1])[0] == rows["h"][0]))
+        flagged = np.zeros(len(rows["h"]), bool)
         for i in tile.asking:
             at, _ = tile.of(i)
             if len(at) and band:
@@ -326,26 +355,27 @@ def _live(tiles: DataFrame) -> DataFrame:
                 at = at[~before.all(axis=2).any(axis=1)]
             flagged[at] = True
             flagged[i] |= len(at) > 0
-        return pdf.loc[flagged, ["h", "id", "component", "outside"]]
+        return {c: rows[c][flagged] for c in ("h", "id", "component", "outside")}
 
-    return tiles.groupBy("h", "i", "j").applyInPandas(work, "h long, id long, component long, outside boolean").distinct()
+    return _by_tile(tiles, work, "h long, id long, component long, outside boolean").distinct()
 
 
 def _exact(tiles: DataFrame) -> DataFrame:
     """(a, b): a forest of each tile's links across components."""
 
-    def work(pdf: pd.DataFrame) -> pd.DataFrame:
-        ids, component, asks = pdf["id"].to_numpy(), pdf["component"].to_numpy(), pdf["asks"].to_numpy()
-        have = [np.frombuffer(x, np.uint64) for x in pdf["units"]]
+    def work(rows: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        ids, component, asks = rows["id"], rows["component"], rows["asks"].astype(bool)
+        have = [np.frombuffer(x, np.uint64) for x in rows["units"]]
         size = np.array([len(x) for x in have])
         a, b = np.flatnonzero(asks), np.flatnonzero(~asks)
-        if not len(a) or not len(b):
-            return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
-        shared = shared_units([have[i] for i in a], [have[i] for i in b])
-        links = (shared / (size[a][:, None] + size[b] - shared) >= SIMILARITY) & (component[a][:, None] != component[b])
-        return pd.DataFrame(forest(links, ids[a], ids[b]), columns=["a", "b"]).astype("int64")
-
-    return tiles.groupBy("h", "i", "j").applyInPandas(work, "a long, b long")
+        links = np.zeros((len(a), len(b)), bool)
+        if links.size:
+            shared = shared_units([have[i] for i in a], [have[i] for i in b])
+            links = (shared / (size[a][:, None] + size[b] - shared) >= SIMILARITY) & (component[a][:, None] != component[b])
+        edges = np.array(forest(links, ids[a], ids[b]), np.int64).reshape(-1, 2)
+        return {"a": edges[:, 0], "b": edges[:, 1]}
+
+    return _by_tile(tiles, work, "a long, b long")
 
 
 def _settled(members: DataFrame, sigs: DataFrame, texts: DataFrame, tried: DataFrame) -> DataFrame:
