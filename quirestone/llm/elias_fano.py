@@ -6,6 +6,31 @@ import numpy as np
 
 _HEAD = 6  # n, bits of a low part, first key, bytes of low parts, words of the high part, check
 _MAGIC = 0x51F0
+_U = np.uint64
+_EACH, _TOP = _U(0x0101010101010101), _U(0x8080808080808080)
+#: Place of the r-th one of a byte, at [r, byte] (8 where it has fewer).
+_IN_BYTE = np.full((8, 256), 8, np.int64)
+for _byte in range(256):
+    for _r, _place in enumerate(i for i in range(8) if _byte >> i & 1):
+        _IN_BYTE[_r, _byte] = _place
+_IN_BYTE = _IN_BYTE.ravel()
+
+
+def select_in_word(x: np.ndarray, r: np.ndarray) -> np.ndarray:
+    """Place of the r-th one (from 0) of each 64-bit word: byte sums side by side, then a table."""
+    with np.errstate(over="ignore"):
+        s = x - ((x >> _U(1)) & _U(0x5555555555555555))
+        s = (s & _U(0x3333333333333333)) + ((s >> _U(2)) & _U(0x3333333333333333))
+        sums = ((s + (s >> _U(4))) & _U(0x0F0F0F0F0F0F0F0F)) * _EACH
+        r = r.astype(np.uint64)
+        place = np.bitwise_count(((r * _EACH | _TOP) - sums) & _TOP).astype(np.uint64) * _U(8)
+        rest = r - (((sums << _U(8)) >> place) & _U(0xFF))
+    return place.astype(np.int64) + _IN_BYTE[(rest << _U(8) | ((x >> place) & _U(0xFF))).astype(np.int64)]
+
+
+def _lowest(x: np.ndarray) -> np.ndarray:
+    """Place of the lowest one of each word that isn't 0."""
+    return np.bitwise_count((x & (~x + _U(1))) - _U(1)).astype(np.int64)
 
 
 def encode(keys: np.ndarray) -> bytes:
@@ -57,29 +82,34 @@ class Sequence:
     def _select_zero(self, k: np.ndarray) -> np.ndarray:
         """Place of the k-th zero of the high part."""
         w = np.searchsorted(self.zeros, k.astype(np.uint32), "right") - 1
-        x = ~self.high[w]
-        r = (k - self.zeros[w]).astype(np.int64)
-        at = w.astype(np.int64) * 64
-        for step in (32, 16, 8, 4, 2, 1):
-            c = np.bitwise_count(x & np.uint64((1 << step) - 1)).astype(np.int64)
-            on = r >= c
-            r -= np.where(on, c, 0)
-            x = np.where(on, x >> np.uint64(step), x)
-            at += np.where(on, step, 0)
-        return at
+        return w * 64 + select_in_word(~self.high[w], k - self.zeros[w])
 
-    def at(self, i: np.ndarray) -> np.ndarray:
-        """The keys at places ``i``."""
+    def _select_one(self, i: np.ndarray) -> np.ndarray:
         w = np.searchsorted(self.ones, i, "right") - 1
-        x, r, place = self.high[w], i - self.ones[w], w * 64
-        for step in (32, 16, 8, 4, 2, 1):
-            c = np.bitwise_count(x & np.uint64((1 << step) - 1)).astype(np.int64)
-            on = r >= c
-            r -= np.where(on, c, 0)
-            x = np.where(on, x >> np.uint64(step), x)
-            place += np.where(on, step, 0)
+        return w * 64 + select_in_word(self.high[w], i - self.ones[w])
+
+    def _after(self, place: np.ndarray, zero: bool) -> tuple[np.ndarray, np.ndarray]:
+        """The first zero (or one) at or after each place, and whether it is in the same word (else it isn't looked for)."""
+        w = np.minimum(place >> 6, len(self.high) - 1)
+        x = (~self.high[w] if zero else self.high[w]) >> (place & 63).astype(np.uint64)
+        here = (x != 0) & (place >> 6 == w)
+        return place + np.where(here, _lowest(x), 0), here
+
+    def _key(self, place: np.ndarray, i: np.ndarray) -> np.ndarray:
         return (((place - i) << self.low_bits) | self._low(i).astype(np.int64)) + self.first
 
+    def at(self, i: np.ndarray) -> np.ndarray:
+        """The keys at places ``i``."""
+        return self._key(self._select_one(i), i)
+
+    def at_both(self, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The keys at ``i`` and at ``i + 1``, whose one is mostly in the same word."""
+        place = self._select_one(i)
+        then, here = self._after(place + 1, False)
+        far = np.flatnonzero(~here)
+        then[far] = self._select_one(i[far] + 1)
+        return self._key(place, i), self._key(then, i + 1)
+
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Index of each key, or -1."""
         out = np.full(len(keys), -1, np.int64)
@@ -92,9 +122,13 @@ class Sequence:
             return out
         h = high[act]
         want = rest[act].astype(np.uint64) & np.uint64((1 << self.low_bits) - 1)
-        lo, hi = np.zeros(len(act), np.int64), self._select_zero(h) - h  # the bucket's keys: ones between two zeros
-        later = h > 0
-        lo[later] = self._select_zero(h[later] - 1) + 1 - h[later]
+        begin = np.zeros(len(act), np.int64)  # the bucket's keys: ones between two zeros
+        later = np.flatnonzero(h > 0)
+        begin[later] = self._select_zero(h[later] - 1) + 1
+        close, here = self._after(begin, True)
+        far = np.flatnonzero(~here)
+        close[far] = self._select_zero(h[far])
+        lo, hi = begin - h, close - h
         end = hi.copy()
         while True:  # successors of a context fill whole buckets, so they are halved, not walked
             open_ = np.flatnonzero(lo < hi)
@@ -140,7 +174,7 @@ class Runs:
             return out
         c = context - self.first
         at = np.flatnonzero((c >= 0) & (c < self.contexts))
-        begin, end = self.pointers.at(c[at]), self.pointers.at(c[at] + 1)
+        begin, end = self.pointers.at_both(c[at])
         some = begin < end
         at, begin, end = at[some], begin[some], end[some]
         base = np.zeros(len(at), np.int64)  # a run begins above the last successor of the run before

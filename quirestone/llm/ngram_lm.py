@@ -26,7 +26,7 @@ from __future__ import annotations
 import functools
 import uuid
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -140,7 +140,7 @@ class Reader:
         out = np.full(len(word), -1, np.int64)
         lv = self.trie.levels[level]
         shard = self._shard(level, context, word)
-        for s in np.unique(shard[shard >= 0]):
+        for s in _there(shard):
             at = np.flatnonzero(shard == s)
             got = _runs_of(self.trie.folder, f"{lv.names[s]}.ef").find(context[at], word[at])
             out[at] = np.where(got >= 0, got + lv.ranks[s], -1)
@@ -151,8 +151,9 @@ class Reader:
         lv = self.trie.levels[level]
         out = np.full(len(ranks), missing, np.float64)
         shard = np.searchsorted(np.array(lv.ranks, np.int64), ranks, "right") - 1
-        for s in np.unique(shard[ranks >= 0]):
-            at = np.flatnonzero((shard == s) & (ranks >= 0))
+        shard[ranks < 0] = -1
+        for s in _there(shard):
+            at = np.flatnonzero(shard == s)
             stored = np.frombuffer(_mapped(self.trie.folder, f"{lv.names[s]}.{kind}"), "<u8" if kind == "count" else "<u2")
             out[at] = stored[ranks[at] - lv.ranks[s]]
         return out
@@ -205,6 +206,11 @@ class Reader:
         return np.where(rank >= 0, -STEP * self.values(above, "prob", rank, 0.0), backed)
 
 
+def _there(shard: np.ndarray) -> np.ndarray:
+    """The shards that occur, -1 aside."""
+    return np.flatnonzero(np.bincount(shard + 1)[1:])
+
+
 def unique_pairs(context: np.ndarray, word: np.ndarray, contexts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Different pairs in order, and where each pair is among them; ``contexts`` bounds the contexts."""
     width = int(word.max()) + 1 if len(word) else 1
@@ -219,7 +225,16 @@ def unique_pairs(context: np.ndarray, word: np.ndarray, contexts: int) -> tuple[
     return names[place], w, back
 
 
-def counted_pairs(context: np.ndarray, word: np.ndarray, contexts: int) -> pd.DataFrame:
+def fits(contexts: int, vocabulary: int) -> bool:
+    """Whether a pair can travel as one number."""
+    return contexts * vocabulary < 1 << 63
+
+
+def counted_pairs(context: np.ndarray, word: np.ndarray, contexts: int, width: int | None) -> pd.DataFrame:
+    """Pairs with their counts: as ``key`` (context * ``width`` + word), or as they are where ``width`` is None."""
+    if width:
+        keys, n = np.unique(context * width + word, return_counts=True)
+        return pd.DataFrame({"key": keys, "n": n})
     context, word, back = unique_pairs(context, word, contexts)
     return pd.DataFrame({"context": context, "word": word, "n": np.bincount(back, minlength=len(word)).astype(np.int64)})
 
@@ -247,7 +262,7 @@ def _word_counts(texts: DataFrame) -> DataFrame:
         ends = 0
 
         def out():
-            return pd.DataFrame({"context": np.int64(0), "word": np.array([token_hash(w) for w in seen], np.int64), "n": np.array(list(seen.values()), np.int64)})
+            return pd.DataFrame({"word": np.array([token_hash(w) for w in seen], np.int64), "n": np.array(list(seen.values()), np.int64)})
 
         for pdf in batches:
             for text in pdf["text"]:
@@ -257,9 +272,10 @@ def _word_counts(texts: DataFrame) -> DataFrame:
                     yield out()
                     seen.clear()
         yield out()
-        yield pd.DataFrame({"context": [0], "word": [END_HASH], "n": [ends]}).query("n > 0")
+        yield pd.DataFrame({"word": [END_HASH], "n": [ends]}).query("n > 0")
 
-    return texts.mapInPandas(work, PAIRS).groupBy("context", "word").agg(F.sum("n").alias("n"))
+    counts = texts.mapInPandas(work, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return counts.select(F.lit(0).cast("long").alias("context"), "word", "n")
 
 
 def _encoded(rows: DataFrame, trie: Trie) -> DataFrame:
@@ -308,7 +324,8 @@ def _runs(parts: list[bytes], kind: str, size: int) -> tuple[list[np.ndarray], n
 
 def _gram_counts(encoded: DataFrame, trie: Trie, size: int) -> DataFrame:
     """Counts of the entries (context, word) of level ``size``, n-grams whose parts are in the level before."""
-    kind = id_type(trie)
+    kind, contexts = id_type(trie), trie.levels[size - 2].n
+    width = trie.vocabulary if fits(contexts, trie.vocabulary) else None
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         reader = _reader(trie)
@@ -317,12 +334,12 @@ def _gram_counts(encoded: DataFrame, trie: Trie, size: int) -> DataFrame:
             runs, _ = _runs(parts, kind, size)
             if size == 2:
                 ok = runs[0] >= 0
-                return counted_pairs(runs[0][ok], runs[1][ok], trie.vocabulary)
+                return counted_pairs(runs[0][ok], runs[1][ok], contexts, width)
             # the first pair of a run is the last pair of the run before, so each place's pair is ranked once
             pair = reader._pairs(runs[1], runs[2])
             context = np.where(runs[0] >= 0, np.concatenate([[-1], pair[:-1]]), -1)
             ok = (context >= 0) & (pair >= 0)
-            return counted_pairs(context[ok], runs[2][ok], trie.levels[1].n)
+            return counted_pairs(context[ok], runs[2][ok], contexts, width)
 
         parts, held = [], 0
         for pdf in batches:
@@ -335,7 +352,10 @@ def _gram_counts(encoded: DataFrame, trie: Trie, size: int) -> DataFrame:
         if parts:
             yield counted(parts)
 
-    return encoded.mapInPandas(work, PAIRS).groupBy("context", "word").agg(F.sum("n").alias("n"))
+    if not width:
+        return encoded.mapInPandas(work, PAIRS).groupBy("context", "word").agg(F.sum("n").alias("n"))
+    summed = encoded.mapInPandas(work, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    return summed.select(F.expr(f"key div {width}").alias("context"), (F.col("key") % F.lit(width)).alias("word"), "n")
 
 
 def _write_level(entries: DataFrame, there: int, trie: Trie, value) -> Level:

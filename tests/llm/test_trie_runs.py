@@ -5,7 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from quirestone.llm import ngram_lm
-from quirestone.llm.elias_fano import Runs, Sequence, encode, encode_runs
+from quirestone.llm.elias_fano import Runs, Sequence, encode, encode_runs, select_in_word
 
 
 @settings(max_examples=150, deadline=None)
@@ -35,6 +35,28 @@ def test_pairs_beyond_one_number(pairs, contexts):
     uc, uw, back = ngram_lm.unique_pairs(c, w, contexts)
     want = sorted(set(pairs))
     assert list(zip(uc.tolist(), uw.tolist())) == want and [want[i] for i in back] == pairs
+    counts = ngram_lm.counted_pairs(c, w, contexts, None)
+    assert list(counts.columns) == ["context", "word", "n"] and counts["n"].tolist() == [pairs.count(x) for x in want]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.integers(1, 2**64 - 1), st.data())
+def test_ones_of_a_word(x, data):
+    places = [i for i in range(64) if x >> i & 1]
+    r = data.draw(st.integers(0, len(places) - 1))
+    assert select_in_word(np.array([x], np.uint64), np.array([r])).tolist() == [places[r]]
+
+
+def test_counts_travel_in_either_form(spark, monkeypatch, docs):
+    rows = docs.selectExpr("cast(doc_id as string) as doc_id", "text", "doc_id % 3 = 0 or doc_id is null as held_out").filter("doc_id <> 56")
+
+    def entries():
+        trie, encoded = ngram_lm.train(rows)
+        return [{tuple(r) for r in ngram_lm._gram_counts(encoded.filter("not held_out").select("ids"), trie, n).collect()} for n in (2, 3)]
+
+    one = entries()
+    monkeypatch.setattr(ngram_lm, "fits", lambda contexts, vocabulary: False)
+    assert entries() == one and len(one[0]) > 100
 
 
 def test_shards_may_split_a_context(spark, monkeypatch):
