@@ -35,9 +35,18 @@ def _replace(x: Column, pattern: str, by: str = "") -> Column:
     return F.regexp_replace(x, _u(pattern), F.lit(by))
 
 
+#: The characters with Unicode's property White_Space.
+WHITE_SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip(x: Column) -> Column:
     """Without white space at both ends, in Unicode's sense."""
-    return _replace(x, r"^\s+|\s+$")
+    return F.btrim(x, F.lit(WHITE_SPACE))
+
+
+def is_blank(x: Column) -> Column:
+    """Null, empty, or nothing but white space."""
+    return ~F.coalesce(x, F.lit("")).rlike(r"(?U)\S")
 
 
 def clean_text(x: Column) -> Column:
@@ -50,13 +59,16 @@ def _nfkc(x: pd.Series) -> pd.Series:
     return x.map(lambda s: None if s is None else unicodedata.normalize("NFKC", s))
 
 
-#: Texts of these characters are their own NFKC form, so that most rows never leave the JVM.
-_PLAIN = r"^[\x00-\x7fÀ-ɏ一-鿿、。]*$"
+#: Texts of these characters need no more than the table below: ASCII, Latin letters but those that NFKC takes apart,
+#: CJK ideographs, marks that it keeps, and full-width forms of ASCII.
+_PLAIN = r"^[\x00-\x7fÀ-ıĴ-ľŁ-ňŊ-žƀ-ǃǍ-ǰǴ-ɏ一-鿿、。“”‘’—–·　！-～]*$"
+_WIDE = "　" + "".join(chr(i) for i in range(0xFF01, 0xFF5F))
+_NARROW = " " + "".join(chr(i) for i in range(0x21, 0x7F))
 
 
 def half_width(x: Column) -> Column:
-    """NFKC. Spark has no such function: only texts that may change go through Python."""
-    return F.when(x.rlike(_PLAIN), x).otherwise(_nfkc(F.when(~x.rlike(_PLAIN), x)))
+    """NFKC. Spark has no such function: only texts that a table can't settle go through Python."""
+    return F.coalesce(_nfkc(F.when(~x.rlike(_PLAIN), x)), F.translate(x, _WIDE, _NARROW))
 
 
 def preview(x: Column, limit: int = 120) -> Column:
@@ -73,7 +85,7 @@ def strip_punctuation(x: Column) -> Column:
 
 def tokens(x: Column) -> Column:
     """Runs of CJK characters, each with its bigrams after it, and runs of a-z and 0-9."""
-    runs = F.regexp_extract_all(F.lower(half_width(clean_text(x))), F.lit(r"[\x{4e00}-\x{9fff}]+|[a-z0-9]+"), F.lit(0))
+    runs = F.regexp_extract_all(F.lower(half_width(F.coalesce(x.cast("string"), F.lit("")))), F.lit(r"[\x{4e00}-\x{9fff}]+|[a-z0-9]+"), F.lit(0))
 
     def parts(r: Column) -> Column:
         pairs = F.transform(F.sequence(F.lit(1), F.length(r) - 1), lambda i: F.substring(r, i, F.lit(2)))
