@@ -89,9 +89,9 @@ def tokens(x: Column) -> Column:
 
     def parts(r: Column) -> Column:
         pairs = F.transform(F.sequence(F.lit(1), F.length(r) - 1), lambda i: F.substring(r, i, F.lit(2)))
-        return F.when(r.rlike(r"^[\x{4e00}-\x{9fff}]{2,}$"), F.concat(F.array(r), pairs)).otherwise(F.array(r))
+        return F.when((r >= "一") & (F.length(r) > 1), F.concat(F.array(r), pairs)).otherwise(F.array(r))  # a run is CJK or ASCII
 
-    return F.flatten(F.transform(runs, parts))
+    return F.when(F.exists(runs, lambda r: r >= "一"), F.flatten(F.transform(runs, parts))).otherwise(runs)
 
 
 def strip_numbering(x: Column) -> Column:

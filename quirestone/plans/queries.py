@@ -219,29 +219,29 @@ def rule_forward_fill(spark, sf):
 FLAGS = "f AS (SELECT n_nationkey, list_filter([CASE WHEN n_nationkey % 2 = 0 THEN 'need_user_upload' END, CASE WHEN n_nationkey % 3 = 0 THEN 'historical_reuse' END, CASE WHEN n_nationkey % 5 = 0 THEN 'template_fill' END, CASE WHEN n_nationkey % 7 = 0 THEN 'ai_generate' END, CASE WHEN n_nationkey % 11 = 0 THEN 'spec_reference' END], lambda x: x IS NOT NULL) AS strategy, r_name, n_name FROM nation JOIN region ON n_regionkey = r_regionkey)"
 
 
-@query(f"WITH {FLAGS} SELECT 'F / ' || r_name || ' / ' || n_name AS section_path, array_to_string(strategy, ',') AS strategy, CASE WHEN n_name = 'NATION_03' THEN 'attachment' ELSE 'template_text' END AS content_type, CASE WHEN n_name = 'NATION_03' THEN '附件召回' ELSE '模板参考复用' END AS reuse_method, true AS long_term FROM f WHERE n_name <> 'NATION_01'")
+@query(f"WITH {FLAGS} SELECT 'F / ' || r_name || ' / ' || n_name AS section_path, array_to_string(strategy, ',') AS strategy, CASE WHEN n_name = 'NATION_3' THEN 'attachment' ELSE 'template_text' END AS content_type, CASE WHEN n_name = 'NATION_3' THEN '附件召回' ELSE '模板参考复用' END AS reuse_method, true AS long_term FROM f WHERE n_name <> 'NATION_1'")
 def process_plan(spark, sf):
-    over = spark.createDataFrame([("F / x / NATION_03", "attachment")], "k string, content_type string")
+    over = spark.createDataFrame([("F / x / NATION_3", "attachment")], "k string, content_type string")
     rules_ = RU.rules(sparse_rules(spark, sf))
-    over = rules_.filter(F.col("sub_content_1") == "NATION_03").select("section_path").crossJoin(over.select("content_type"))
+    over = rules_.filter(F.col("sub_content_1") == "NATION_3").select("section_path").crossJoin(over.select("content_type"))
     for c, t in (("expected_pages", "array<int>"), ("reuse_method", "string"), ("long_term", "boolean"), ("use_ocr", "boolean"), ("parse_table", "boolean")):
         over = over.withColumn(c, F.lit(None).cast(t))
-    p = RU.plan(rules_, over, "F", skip_sections=("NATION_01",))
+    p = RU.plan(rules_, over, "F", skip_sections=("NATION_1",))
     return p.select("section_path", F.array_join("process_strategy", ",").alias("strategy"), "content_type", "reuse_method", F.col("enter_long_term_library").alias("long_term"))
 
 
-@query("""SELECT p_partkey, CASE WHEN contains(p_type, 'BRASS') THEN 'attachment' WHEN contains(p_type, 'STEEL') OR contains(p_type, 'TIN') THEN 'structured_field' ELSE 'template_text' END AS kind,
-CASE WHEN contains(p_type, 'BRASS') THEN '附件召回' WHEN contains(p_type, 'STEEL') OR contains(p_type, 'TIN') THEN '结构化字段填充' ELSE '模板参考复用' END AS reuse,
-CASE WHEN contains(p_type, 'BRASS') THEN 'attachment_asset' WHEN contains(p_type, 'STEEL') OR contains(p_type, 'TIN') THEN 'structured_reuse' ELSE 'text_reuse' END AS storage FROM part""")
+@query("""SELECT p_partkey, CASE WHEN contains(p_type, 'PROMO') THEN 'attachment' WHEN contains(p_type, 'SMALL') OR contains(p_type, 'MEDIUM') THEN 'structured_field' ELSE 'template_text' END AS kind,
+CASE WHEN contains(p_type, 'PROMO') THEN '附件召回' WHEN contains(p_type, 'SMALL') OR contains(p_type, 'MEDIUM') THEN '结构化字段填充' ELSE '模板参考复用' END AS reuse,
+CASE WHEN contains(p_type, 'PROMO') THEN 'attachment_asset' WHEN contains(p_type, 'SMALL') OR contains(p_type, 'MEDIUM') THEN 'structured_reuse' ELSE 'text_reuse' END AS storage FROM part""")
 def content_type_cascade(spark, sf):
-    kind = RU.content_type(F.col("p_type"), {"attachment": ("BRASS",), "structured_field": ("STEEL", "TIN")})
+    kind = RU.content_type(F.col("p_type"), {"attachment": ("PROMO",), "structured_field": ("SMALL", "MEDIUM")})
     return table(spark, sf, "part").select("p_partkey", kind.alias("kind")).select("p_partkey", "kind", RU.reuse_method(F.col("kind")).alias("reuse"), RU.storage_profile(F.col("kind"))["storage_category"].alias("storage"))
 
 
-@query("SELECT n_nationkey, n_name FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_name IN ('NATION_02', 'NATION_05') OR r_name || ' / ' || n_name IN (SELECT r_name || ' / NATION_07' FROM region)")
+@query("SELECT n_nationkey, n_name FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_name IN ('NATION_2', 'NATION_5') OR r_name || ' / ' || n_name IN (SELECT r_name || ' / NATION_7' FROM region)")
 def section_target_filter(spark, sf):
     n = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    return n.filter(RU.matches_target(F.concat_ws(" / ", "r_name", "n_name"), F.array(F.lit("NATION_02"), F.lit("NATION_05"), F.concat(F.col("r_name"), F.lit(" / NATION_07"))))).select("n_nationkey", "n_name")
+    return n.filter(RU.matches_target(F.concat_ws(" / ", "r_name", "n_name"), F.array(F.lit("NATION_2"), F.lit("NATION_5"), F.concat(F.col("r_name"), F.lit(" / NATION_7"))))).select("n_nationkey", "n_name")
 
 
 @query("WITH p AS (SELECT DISTINCT unnest([n_nationkey, n_nationkey % 7]) AS page_no FROM nation WHERE n_nationkey % 2 = 0) SELECT page_no FROM p WHERE page_no > 0")
@@ -444,7 +444,7 @@ def discovered_items(spark, sf):
 
 
 def line_parts(spark, sf):
-    b = table(spark, sf, "benchmark").select(F.col("item_id").alias("rule_id"), F.substring("text", 1, 40).alias("section_path"), F.lit("").alias("sub_content_2"), F.lit("").alias("sub_content_3"), F.substring("text", 1, 40).alias("sub_content_1"), F.lit("").alias("module_name"), F.lit("").alias("file_type"))
+    b = table(spark, sf, "benchmark").select(F.col("item_id").alias("rule_id"), F.col("text").alias("section_path"), F.lit("").alias("sub_content_2"), F.lit("").alias("sub_content_3"), F.col("text").alias("sub_content_1"), F.lit("").alias("module_name"), F.lit("").alias("file_type"))
     return MA.line_rules(MA.rule_titles(b)), MA.block_lines(blocks(spark, sf))
 
 
@@ -457,10 +457,10 @@ def block_line_match(spark, sf):
 
 
 @query("""WITH e AS (SELECT user_id % 100 AS doc_id, event_id % 20 + 1 AS page_no, event_type, event_id FROM events), s AS (SELECT doc_id, id, 1 + id * 3 AS p0, 4 + id * 4 AS p1 FROM (SELECT unnest(range(100)) AS doc_id), (SELECT unnest(range(4)) AS id)),
-j AS (SELECT s.doc_id, s.id, count(*) FILTER (WHERE event_type = 'click') AS t, count(*) FILTER (WHERE event_type = 'view') AS b, count(*) FILTER (WHERE event_type = 'purchase') AS i FROM s LEFT JOIN e ON e.doc_id = s.doc_id AND page_no BETWEEN p0 AND p1 GROUP BY ALL)
+j AS (SELECT s.doc_id, s.id, count(*) FILTER (WHERE event_type = 'click') AS t, count(*) FILTER (WHERE event_type = 'view') AS b, count(*) FILTER (WHERE event_type = 'purchase' AND event_id % 4 >= 1 AND event_id % 3 >= 1) AS i FROM s LEFT JOIN e ON e.doc_id = s.doc_id AND page_no BETWEEN p0 AND p1 GROUP BY ALL)
 SELECT doc_id::BIGINT AS doc_id, id::BIGINT AS id, t AS text_blocks, b AS tables, i AS images, CASE WHEN (t > 0)::INT + (b > 0)::INT + (i > 0)::INT = 0 THEN 'unknown' WHEN (t > 0)::INT + (b > 0)::INT + (i > 0)::INT > 1 THEN 'mixed' WHEN t > 0 THEN 'text' WHEN b > 0 THEN 'table' ELSE 'image' END AS dominant FROM j""")
 def page_profile(spark, sf):
-    e = table(spark, sf, "events").select((F.col("user_id") % 100).alias("doc_id"), (F.col("event_id") % 20 + 1).cast("int").alias("page_no"), "event_type", F.lit("x").alias("text"), F.lit(300).alias("width"), F.lit(300).alias("height"))
+    e = table(spark, sf, "events").select((F.col("user_id") % 100).alias("doc_id"), (F.col("event_id") % 20 + 1).cast("int").alias("page_no"), "event_type", F.lit("x").alias("text"), (150 + F.col("event_id") % 4 * 50).alias("width"), (100 + F.col("event_id") % 3 * 20).alias("height"))
     s = spark.range(100).select(F.col("id").alias("doc_id"), F.explode(F.sequence(F.lit(0), F.lit(3))).alias("id")).withColumn("page_start", 1 + F.col("id") * 3).withColumn("page_end", 4 + F.col("id") * 4)
     got = C.profile(s, e.filter("event_type = 'click'"), e.filter("event_type = 'view'"), e.filter("event_type = 'purchase'"))
     return got.select("doc_id", F.col("id").cast("long").alias("id"), "text_blocks", "tables", "images", "dominant")
