@@ -190,9 +190,9 @@ def lookup_key(x: Column) -> Column:
 
 
 def cell_signature(x: Column) -> Column:
-    """A table cell without white space and common punctuation; subscript two and micro signs are folded."""
+    """A table cell without white space, brackets, dashes and common punctuation; subscript two and micro signs are folded, case stays."""
     plain = F.translate(F.coalesce(x, F.lit("")), "₂μµ", "2uu")
-    return F.lower(_replace(plain, r"[\s|，,。.；;：:、（）()\[\]【】“”\"'‘’]+"))
+    return _replace(plain, r"[\s，,。；;：:、（）()\[\]【】<>《》\-—_]+")
 
 
 def safe_name(x: Column, limit: int = 80) -> Column:

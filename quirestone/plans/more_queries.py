@@ -223,16 +223,16 @@ def section_levels(spark, sf):
     return table(spark, sf, "part").select("p_partkey", T.section_level(t).cast("long").alias("level"))
 
 
-@query("SELECT p_partkey, lower(p_name_ || p_brand || 'ux2' || p_type) AS signature FROM (SELECT *, replace(p_name, ' ', '') AS p_name_ FROM part)")
+@query("SELECT p_partkey, regexp_replace(p_name || p_brand || 'ux2.“' || p_type || '”', '[\\s_-]+', '', 'g') AS signature FROM part")
 def cell_signatures(spark, sf):
-    cell = F.concat(F.col("p_name"), F.lit(", ("), F.col("p_brand"), F.lit("）；µ x₂ “"), F.col("p_type"), F.lit("”。"))
+    cell = F.concat(F.col("p_name"), F.lit(", ("), F.col("p_brand"), F.lit("）；µ x₂. 《“"), F.col("p_type"), F.lit("”》。"))
     return table(spark, sf, "part").select("p_partkey", T.cell_signature(cell).alias("signature"))
 
 
-CELLS = """t AS (SELECT s_suppkey % 50 AS doc_id, 't' || s_suppkey AS table_id, s_suppkey % 4 + 1 AS page_no, (s_suppkey % 20) * 10.0 AS y0, lower(s_name) AS sig FROM supplier),
+CELLS = """t AS (SELECT s_suppkey % 50 AS doc_id, 't' || s_suppkey AS table_id, s_suppkey % 4 + 1 AS page_no, (s_suppkey % 20) * 10.0 AS y0, replace(s_name, '_', '') AS sig FROM supplier),
 x AS (SELECT l_suppkey % 50 AS doc_id, CASE WHEN l_linenumber < 5 THEN l_suppkey % 4 ELSE l_suppkey % 3 END + 1 AS page_no, l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS item_id, l_partkey % 300 AS y0,
   CASE l_linenumber % 3 WHEN 0 THEN s_name WHEN 1 THEN 'see ' || s_name || ', too' ELSE substr(s_name, 1, 5 + l_linenumber) END AS text FROM lineitem JOIN supplier ON l_suppkey = s_suppkey),
-o AS (SELECT *, lower(replace(replace(text, ' ', ''), ',', '')) AS own FROM x), sg AS (SELECT doc_id, page_no, table_id, sig FROM t UNION SELECT doc_id, page_no, table_id, sig || 'total' FROM t),
+o AS (SELECT *, regexp_replace(text, '[ ,_]', '', 'g') AS own FROM x), sg AS (SELECT doc_id, page_no, table_id, sig FROM t UNION SELECT doc_id, page_no, table_id, sig || 'total' FROM t),
 hit AS (SELECT DISTINCT o.doc_id, item_id, first_value(table_id) OVER (PARTITION BY o.doc_id, item_id ORDER BY table_id) AS table_id FROM o JOIN sg USING (doc_id, page_no) WHERE length(own) >= 6 AND (contains(own, sig) OR contains(sig, own)))"""
 
 
