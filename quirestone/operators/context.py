@@ -95,6 +95,21 @@ def routed_runs(requests: DataFrame, projects: DataFrame) -> DataFrame:
     return j.withColumn("some", some).filter(~F.col("some") | F.col("same")).drop("some", "same", "type_key", "root")
 
 
+def project_status(answers: DataFrame) -> DataFrame:
+    """One answer for each request from those of its runs ``(request_id, run_name, status, match_type, n)``.
+
+    The only run of the best tier wins; several of them, or candidates without any match, are ambiguous (multi_run); else not_found."""
+    tier = F.array_position(F.array(*map(F.lit, TIERS)), F.col("match_type"))
+    matched = F.col("status") == "matched"
+    rank = F.when(matched, F.when(tier > 0, tier).otherwise(F.lit(len(TIERS) + 1)))
+    best = F.min(rank).over(Window.partitionBy("request_id"))
+    a = answers.withColumn("_best", F.when(matched & (rank == best), F.struct("run_name", "match_type")))
+    g = a.groupBy("request_id").agg(F.count("_best").alias("ties"), F.min("_best").alias("x"), F.coalesce(F.sum("n"), F.lit(0)).alias("found"))
+    one = F.col("ties") == 1
+    none = (F.col("ties") == 0) & (F.col("found") == 0)
+    return g.select("request_id", F.when(one, "matched").when(none, "not_found").otherwise("ambiguous").alias("status"), F.when(one, F.col("x.match_type")).when(none, "not_found").otherwise("multi_run").alias("match_type"), F.when(one, F.col("x.run_name")).alias("run_name"))
+
+
 def evidence(items: DataFrame) -> DataFrame:
     """Distinct sorted pages of each material, and its items but for texts of tables."""
     rows = F.when((F.col("item_type") != "text") | (F.coalesce("role", F.lit("")) != "table_text"), F.struct("n", "item_type", "page_no", "item_id"))

@@ -15,6 +15,7 @@ from ..functions import geometry as G
 from ..functions import text as T
 from ..functions.ids import stable_id
 from ..plans.rank import reading_order, top
+from . import masks as M
 from . import packaging as P
 from . import tables as TB
 
@@ -168,6 +169,43 @@ def paired_images(candidates: DataFrame, images: DataFrame) -> DataFrame:
     return c.join(i, ["doc_id", "page_no", "n"]).drop("n")
 
 
+def asset_name(title: Column, anchor: Column | None = None) -> Column:
+    """The file name of an attachment: its anchor without the mark, else the title; illegal characters become "_"."""
+    t = T.strip(_filled(anchor if anchor is not None else F.lit("")))
+    t = T.strip(F.regexp_replace(t, "^附：", ""))
+    base = F.when(t == "", _filled(title)).otherwise(t)
+    clean = T.strip(F.regexp_replace(F.regexp_replace(T.strip(base), r'[\\/:*?"<>|]+', "_"), r"(?U)\s+", " "))
+    return F.when(clean == "", "未命名附件").otherwise(clean)
+
+
+def attachment_manifest(candidates: DataFrame, lines: DataFrame, images: DataFrame) -> DataFrame:
+    """Which image each attachment candidate ``(doc_id, candidate_id, title, page_start, page_end, ord)`` is exported as.
+
+    A candidate of one page takes the image at its place among those of the page; one of several pages takes the images
+    under its anchors in ``lines(doc_id, page_no, line_id, text, y)``, or all of its pages where no anchor has any. Images that
+    are too small don't count. Equal names are numbered. Candidates without pages or images stay, with their status."""
+    keys = ["doc_id", "candidate_id"]
+    large = images.filter(M.is_meaningful_image(F.col("width"), F.col("height"), F.col("bbox")))
+    placed = candidates.filter("page_start is not null").withColumn("page_end", F.greatest("page_start", F.coalesce("page_end", "page_start")))
+    single = placed.filter("page_end = page_start").withColumn("page_no", F.col("page_start"))
+    pairs = paired_images(single, large).join(candidates.select(*keys, "title"), keys).select(*keys, "page_no", "image_id", asset_name(F.col("title")).alias("base"), F.lit(None).cast("int").alias("n"))
+
+    wide = placed.filter("page_end > page_start").select(*keys, "title", F.explode(F.sequence("page_start", "page_end")).alias("page_no"))
+    named = lines.filter(is_anchor_line(F.col("text")))
+    mark = F.contains("text", F.lit("附")) | F.contains("text", F.lit("扫描件"))
+    anchors = wide.join(named, ["doc_id", "page_no"]).filter(anchor_matches(F.col("title"), F.col("text"))).withColumn("anchor_id", F.struct("candidate_id", "line_id"))
+    under = anchor_images(anchors, large, named.filter(mark)).join(anchors.select("doc_id", "anchor_id", "title", "text"), ["doc_id", "anchor_id"])
+    under = under.select("doc_id", F.col("anchor_id.candidate_id").alias("candidate_id"), "page_no", "image_id", asset_name(F.col("title"), F.col("text")).alias("base"), "n")
+    rest = wide.join(under.select(*keys).distinct(), keys, "left_anti").join(large.select("doc_id", "page_no", "image_id", "bbox"), ["doc_id", "page_no"])
+    rest = reading_order(rest, [F.asc("page_no"), _top().asc(), _left().asc(), F.asc("image_id")], ("doc_id", "candidate_id"), "n").select(*keys, "page_no", "image_id", asset_name(F.col("title")).alias("base"), "n")
+
+    found = pairs.unionByName(under).unionByName(rest).withColumn("base", F.concat_ws("_", "base", F.col("n").cast("string")))
+    again = F.row_number().over(Window.partitionBy("doc_id", "base").orderBy("page_no", "candidate_id", "image_id"))
+    found = found.withColumn("asset", F.when(again == 1, F.col("base")).otherwise(F.concat_ws("_", "base", again.cast("string")))).drop("base", "n")
+    status = F.when(F.col("page_start").isNull(), "source_page_not_found").when(F.col("image_id").isNull(), "no_meaningful_embedded_image_found").otherwise("exported_embedded_image")
+    return candidates.join(found, keys, "left").select(*keys, status.alias("export_status"), "page_no", "image_id", "asset")
+
+
 # ---- images by kind
 
 
@@ -394,9 +432,34 @@ def without_repeated_head(rows: Column, texts: Column) -> Column:
     return F.slice(rows, n + 1, F.greatest(F.size(rows), F.lit(1)))
 
 
+def with_tail_notes(stream: DataFrame, tables: DataFrame) -> DataFrame:
+    """The stream with Markdown of its tables ``(doc_id, table_id, rows)``: rows from a note on go, the note below the table becomes
+    its last row, without what it repeats, and is no text of its own any more (role ``table_note``)."""
+    notes = tail_notes(stream).join(tables.select("doc_id", "table_id", "rows"), ["doc_id", "table_id"])
+    notes = notes.select("doc_id", "scope_id", "table_id", F.col("item_id").alias("note_id"), trimmed_note(F.col("text"), F.col("rows")).alias("note"))
+    shown = tables.select("doc_id", F.col("table_id").alias("item_id"), without_tail_notes(F.col("rows")).alias("_rows"))
+    out = stream.join(shown, ["doc_id", "item_id"], "left").join(notes.select("doc_id", "scope_id", F.col("table_id").alias("item_id"), "note"), ["doc_id", "scope_id", "item_id"], "left")
+    used = notes.select("doc_id", "scope_id", F.col("note_id").alias("item_id"), F.lit(True).alias("_used"))
+    out = out.join(used, ["doc_id", "scope_id", "item_id"], "left").withColumn("role", F.when(F.col("_used"), "table_note").otherwise(F.col("role")))
+    return out.select(*stream.columns, F.when(F.col("_rows").isNotNull(), TB.markdown(with_note_row(F.col("_rows"), F.col("note")))).alias("markdown"))
+
+
 # ---- layout pages
 
 
+def is_native_model(source: Column) -> Column:
+    """Whether a table model was read from the page itself."""
+    return F.startswith(_filled(source), F.lit("pdfplumber"))
+
+
+def clipped_box(box: Column, width: Column, height: Column) -> Column:
+    """A box inside its page; an unknown or zero size doesn't clip."""
+    def inside(v: Column, size: Column) -> Column:
+        return F.when(F.coalesce(size, F.lit(0)) == 0, v).otherwise(F.greatest(F.lit(0.0), F.least(v, size.cast("double"))))
+
+    return G.box(inside(box[0], width), inside(box[1], height), inside(box[2], width), inside(box[3], height))
+
+
 def layout_tables(layout: DataFrame) -> DataFrame:
     """Tables of layout pages: parsed ones with their cells, then detected boxes that no table before them on the page covers by 0.8."""
     page = (F.col("page_index") + 1).alias("page_no")

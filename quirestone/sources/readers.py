@@ -83,18 +83,21 @@ def read_documents(spark: SparkSession, path: str, extract: Callable[[bytes], It
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(work, f"path string, error string, {schema}")
 
 
-def call_pages(pages: DataFrame, client: Callable[[dict], dict], schema: str, retries: int = 1, workers: int | None = None) -> DataFrame:
-    """Rows through an injected client (OCR, vision): ``retries`` more calls for empty answers, failures as an ``error`` column."""
+def call_pages(pages: DataFrame, client: Callable[[dict], dict] | list, schema: str, retries: int = 1, workers: int | None = None) -> DataFrame:
+    """Rows through an injected client (OCR, vision): ``retries`` more calls for empty answers, failures as an ``error`` column.
+
+    Of a list of clients the first that answers wins, each with its own retries."""
     columns, names = [c.split()[0] for c in schema.split(", ")], pages.columns
+    calls = [c for c in (client if isinstance(client, list) else [client]) for _ in range(retries + 1)]
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
             for row in pdf.to_dict("records"):
                 got, error = None, None
-                for _ in range(retries + 1):
+                for call in calls:
                     try:
-                        got, error = client(row), None
+                        got, error = call(row), None
                     except Exception as e:  # noqa: BLE001
                         error = str(e)
                     if got:

@@ -29,7 +29,7 @@ def write_packages(materials: DataFrame, items: DataFrame, root: str) -> DataFra
     def work(batches):
         for pdf in batches:
             for r in pdf.to_dict("records"):
-                folder = os.path.join(root, str(r["doc_id"]), str(r["scope_id"]))
+                folder = safe_join(root, str(r["doc_id"]), str(r["scope_id"]))
                 os.makedirs(folder, exist_ok=True)
                 meta = {"doc_id": r["doc_id"], "scope_id": str(r["scope_id"])}
                 for name, text in (("material.md", r["markdown"] or ""), ("ordered_material.json", r["items"] or "[]"), ("material_meta.json", json.dumps(meta))):
@@ -45,17 +45,40 @@ def write_packages(materials: DataFrame, items: DataFrame, root: str) -> DataFra
 KINDS = {"markdown": (".md",), "json": (".json",), "images": (".png", ".jpg", ".jpeg"), "csv": (".csv",)}
 
 
-def light_pack(root: str, kinds: tuple[str, ...] = ("markdown", "json")) -> tuple[bytes, dict[str, int]]:
-    """A zip of the chosen kinds of files, in sorted order, and the count of each kind."""
-    counts, data = dict.fromkeys(KINDS, 0), io.BytesIO()
+def write_files(files: DataFrame, root: str) -> DataFrame:
+    """Files ``(path, content)`` below ``root``, written by tasks; the manifest: path, bytes. Null contents are skipped; a path that leaves ``root`` fails."""
+    def work(batches):
+        for pdf in batches:
+            kept = pdf[pdf["content"].notna()]
+            for name, data in zip(kept["path"], kept["content"]):
+                full = safe_join(root, name)
+                os.makedirs(os.path.dirname(full), exist_ok=True)
+                part = f"{full}.part"
+                with open(part, "wb") as f:
+                    f.write(data)
+                os.replace(part, full)
+            yield kept.assign(bytes=[len(x) for x in kept["content"]])[["path", "bytes"]]
+
+    return files.select("path", "content").mapInPandas(work, "path string, bytes long")
+
+
+def write_trace(stages: dict[str, DataFrame], path: str) -> None:
+    """What each stage of region detection gave, as JSON lines in a folder for each stage."""
+    for name, df in stages.items():
+        df.write.mode("overwrite").json(os.path.join(path, f"stage={name}"))
+
+
+def light_pack(root: str, kinds: tuple[str, ...] = ("markdown", "json"), target: str | None = None) -> tuple[bytes, dict[str, int]]:
+    """A zip of the chosen kinds of files, in sorted order, and the count of each kind; into the file ``target``, if given, a file at a time."""
+    counts, data = dict.fromkeys(KINDS, 0), target or io.BytesIO()
     with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as z:
         for folder, _, names in sorted(os.walk(root)):
             for n in sorted(names):
                 kind = next((k for k in kinds if n.endswith(KINDS[k])), None)
-                if kind:
+                if kind and os.path.join(folder, n) != target:
                     z.write(os.path.join(folder, n), os.path.relpath(os.path.join(folder, n), root))
                     counts[kind] += 1
-    return data.getvalue(), counts
+    return b"" if target else data.getvalue(), counts
 
 
 def safe_join(root: str, *parts: str) -> str:

@@ -1,9 +1,12 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from quirestone.functions import text as T
+from quirestone.operators import context as X
 from quirestone.operators import materials as A
+from quirestone.sources import readers, writers
 
 CELLS = "array<array<string>>"
 
@@ -140,3 +143,54 @@ def test_documents_tell_nothing_twice(spark):
     children = spark.createDataFrame([(1, "s", "Child")], "doc_id long, scope_id string, title string")
     got = A.full_documents(df, materials, children).first()
     assert (got["markdown"], got["materials"]) == ("# 解析全文\n\n## S\n\nIntro\n\n### Child\n\ninside\n", 2)
+
+
+def test_tables_take_the_note_below_them(spark):
+    stream = [(1, "s", 1, "table", "t", 1, None, "table"), (1, "s", 2, "text", "a", 1, "正文", "body_text"), (1, "s", 3, "text", "b", 1, "说明：x", "body_text"), (1, "s", 4, "text", "c", 1, "说明：y", "body_text"), (1, "s", 5, "table", "u", 2, None, "table")]
+    df = spark.createDataFrame(stream, "doc_id long, scope_id string, n int, item_type string, item_id string, page_no int, text string, role string")
+    tables = spark.createDataFrame([(1, "t", [["a", "b"], ["合计", "1"], ["发票 z", ""]]), (1, "u", [["q"]])], f"doc_id long, table_id string, rows {CELLS}")
+    got = {r["item_id"]: (r["role"], r["markdown"]) for r in A.with_tail_notes(df, tables).collect()}
+    assert got["t"] == ("table", "| a | b |\n| --- | --- |\n| 合计 | 1 |\n| 说明：x |  |")
+    assert got["u"] == ("table", "| q |\n| --- |") and got["b"] == ("table_note", None) and got["a"][0] == got["c"][0] == "body_text"
+
+
+def test_attachments_are_named_once(spark):
+    big = [0.0, 100.0, 300.0, 300.0]
+    images = [(1, 1, "i1", big, 400, 300, ), (1, 1, "i2", [0.0, 400.0, 300.0, 600.0], 400, 300), (1, 1, "tiny", [0.0, 0.0, 9.0, 9.0], 400, 300), (1, 3, "i3", big, 400, 300), (1, 4, "i4", big, 400, 300), (1, 6, "i5", big, 400, 300)]
+    i = spark.createDataFrame(images, "doc_id long, page_no int, image_id string, bbox array<double>, width int, height int")
+    c = spark.createDataFrame([(1, "a", "证照", 1, None, 0), (1, "b", "证照", 1, 1, 1), (1, "c", "证照", 1, 1, 2), (1, "d", "营业执照", 3, 4, 3), (1, "e", "其他材料", 5, 6, 4), (1, "f", "无页", None, None, 5), (1, "g", "空", 8, 9, 6)], "doc_id long, candidate_id string, title string, page_start int, page_end int, ord int")
+    lines = spark.createDataFrame([(1, 3, "l1", "附：营业执照", 50.0), (1, 3, "l2", "附：税务登记", 290.0), (1, 4, "l3", None, 1.0)], "doc_id long, page_no int, line_id string, text string, y double")
+    got = sorted(((r["candidate_id"], r["export_status"].split("_")[0], r["image_id"], r["asset"]) for r in A.attachment_manifest(c, lines, i).collect()))
+    assert got == [("a", "exported", "i1", "证照"), ("b", "exported", "i2", "证照_2"), ("c", "no", None, None), ("d", "exported", "i3", "营业执照_1"), ("e", "exported", "i5", "其他材料_1"), ("f", "source", None, None), ("g", "no", None, None)]
+    assert one(spark, A.asset_name(F.col("t"), F.col("a")), t=("string", "x"), a=("string", "附： a/b  c ")) == "a_b c"
+    assert one(spark, A.asset_name(F.col("t")), t=("string", None)) == "未命名附件"
+
+
+def test_the_only_best_run_answers(spark):
+    rows = [(1, "a", "matched", "title", 1), (1, "b", "matched", "exact_path", 1), (2, "a", "matched", "title", 1), (2, "b", "matched", "title", 1), (3, "a", "ambiguous", "title", 2), (3, "b", "not_found", None, 0), (4, "a", "not_found", None, 0), (5, "a", "ambiguous", "title", 2), (5, "b", "matched", "fuzzy", 1)]
+    df = spark.createDataFrame(rows, "request_id int, run_name string, status string, match_type string, n int")
+    got = {r[0]: tuple(r)[1:] for r in X.project_status(df).collect()}
+    assert got == {1: ("matched", "exact_path", "b"), 2: ("ambiguous", "multi_run", None), 3: ("ambiguous", "multi_run", None), 4: ("not_found", "not_found", None), 5: ("matched", "fuzzy", "b")}
+
+
+def test_files_stay_below_their_root_and_the_first_answer_wins(spark, tmp_path):
+    files = spark.createDataFrame([("a/b.png", bytearray(b"12")), ("c.png", None)], "path string, content binary")
+    assert [tuple(r) for r in writers.write_files(files, str(tmp_path)).collect()] == [("a/b.png", 2)]
+    assert (tmp_path / "a" / "b.png").read_bytes() == b"12"
+    with pytest.raises(Exception, match="leaves its root"):
+        writers.write_files(spark.createDataFrame([("../x", bytearray(b"1"))], "path string, content binary"), str(tmp_path)).collect()
+    data, counts = writers.light_pack(str(tmp_path), ("images",), str(tmp_path / "pack.zip"))
+    assert data == b"" and counts["images"] == 1 and (tmp_path / "pack.zip").stat().st_size > 0
+
+    def broken(row):
+        raise ValueError("down")
+
+    pages = spark.createDataFrame([(1,)], "page_no int")
+    assert readers.call_pages(pages, [broken, lambda r: {}, lambda r: {"t": "x"}], "t string").first()["t"] == "x"
+    assert readers.call_pages(pages, [broken], "t string").first()["error"] == "down"
+
+
+def test_boxes_are_clipped_to_known_pages(spark):
+    box = ("array<double>", [-5.0, 2.0, 700.0, 900.0])
+    assert one(spark, A.clipped_box(F.col("b"), F.lit(600), F.lit(None).cast("int")), b=box) == [0.0, 2.0, 600.0, 900.0]
+    assert one(spark, A.is_native_model(F.col("s")), s=("string", "pdfplumber_cells")) and not one(spark, A.is_native_model(F.col("s")), s=("string", None))
