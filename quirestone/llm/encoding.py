@@ -39,6 +39,9 @@ UNSURE = re.compile("[^\\S \\t\\n\\r\\x0b\\x0c]|[\x00-\x08\x0e-\x1f\x7f-\x9f\u03
 #: Texts on which the cuts are tried when a vocabulary is loaded.
 PROBES = ("It's we'LL 12.5%, (a-b) x_1  two\n\n\tNaïve Café's don't? ...!! \r\n end ", "漢字 «ёлка» — x½5 1,000 it's\n The  the THE tHe", "a" * 30 + " 1234567890 http://a.b/c?d=e&f")
 
+#: Chunks that are encoded in one go, with line breaks between.
+TOGETHER = 4096
+
 #: Entries of the small table, and how many chunks are counted to choose them.
 COMMON, COMMON_FROM = 12_000, 600_000
 
@@ -67,6 +70,11 @@ class Generations(dict):
         return self
 
 
+def joinable(chunk: str) -> bool:
+    """No white space but one blank at the start; chunks have white space only there or are nothing else."""
+    return not chunk[-1].isspace() and (not chunk[0].isspace() or (chunk[0] == " " and not chunk[1].isspace()))
+
+
 def filled(got: list, keys: list, cache: dict) -> None:
     """Look up again what was missing, at its places only."""
     at = -1
@@ -99,11 +107,45 @@ class ChunkEncoder:
         self.sampled = 0
         #: a vocabulary whose rules the cuts don't suit encodes whole texts
         self.cuts = True
+        self.line: int | None = None
         self.cuts = all(self.ids(t) == self._whole(t) for t in PROBES)
+        self.line = self._line_break()
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def _line_break(self) -> int | None:
+        """The id of a line break, if chunks with line breaks between have the ids that each has alone, and else None."""
+        line = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        if len(line) != 1 or self.folds or not self.cuts:
+            return None
+        chunks = [c for c in dict.fromkeys(c for t in PROBES for c in self._cut(t) or COARSE.findall(t)) if joinable(c)]
+        chunks += [a + b for a in " x" for b in chunks if joinable(a + b)]
+        ids = self.tokenizer.encode("\n".join(chunks), add_special_tokens=False).ids
+        return line[0] if np.array(ids, "<u4").tobytes() == np.array(line, "<u4").tobytes().join(map(self._whole, chunks)) else None
+
+    def _learn(self, chunks: list[str], cache: dict) -> None:
+        """Put the ids of new chunks into the cache. An Encoding costs as much as a word's merges, so many chunks share one:
+        no pre-token crosses a line break between chunks without one, whose id then tells them apart."""
+        alone = chunks
+        if self.line is not None:
+            many, alone = [], []
+            for c in chunks:
+                (many if joinable(c) else alone).append(c)
+            groups = [many[i : i + TOGETHER] for i in range(0, len(many), TOGETHER)]
+            for group, e in zip(groups, self.tokenizer.encode_batch_fast(["\n".join(g) for g in groups], add_special_tokens=False) if groups else ()):
+                ids = np.array(e.ids, "<u4")
+                ends = np.append(np.flatnonzero(ids == self.line), len(ids)) * 4
+                if len(ends) != len(group):
+                    alone += group
+                    continue
+                data, lo = ids.tobytes(), 0
+                for c, hi in zip(group, ends.tolist()):
+                    cache[c] = data[lo:hi]
+                    lo = hi + 4
+        for c, e in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False) if alone else ()):
+            cache[c] = array("I", e.ids).tobytes() if LITTLE else np.array(e.ids, "<u4").tobytes()
+
     def _cut(self, text: str) -> list[str] | None:
         if not self.cuts:
             return None
@@ -133,9 +175,7 @@ class ChunkEncoder:
                 cut.append(chunks)
                 found.append(got)
                 n += len(got)
-            ask = list(cache.ask)
-            for c, e in zip(ask, self.tokenizer.encode_batch_fast(ask, add_special_tokens=False) if ask else ()):
-                cache[c] = array("I", e.ids).tobytes() if LITTLE else np.array(e.ids, "<u4").tobytes()
+            self._learn(list(cache.ask), cache)
             for i, (chunks, got) in enumerate(zip(cut, found)):
                 if chunks is None:
                     out.append(self._whole(texts[lo + i]))
