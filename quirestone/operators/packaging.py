@@ -15,6 +15,7 @@ from ..functions import geometry as G
 from ..functions import text as T
 from ..plans.rank import first_by, preceding, reading_order, top
 from . import masks as M
+from .retrieval import _bounded
 
 #: Texts of table captions, tail notes, form fields.
 CAPTION = r"^\s*(?:附?表|续表)\s*[\d一二三四五六七八九十]+"
@@ -211,11 +212,19 @@ def cell_signatures(tables: DataFrame) -> DataFrame:
     return cells.filter("length(sig) >= 6").distinct()
 
 
+def _cell_tables(texts: DataFrame, tables: DataFrame) -> DataFrame:
+    """``texts`` with the first table of their page that has a cell like them, or null; equal texts and cells are compared once."""
+    once = texts.select("doc_id", "page_no", "text").distinct().withColumn("own", T.cell_signature(F.col("text"))).filter("length(own) >= 6")
+    sigs = cell_signatures(tables).groupBy("doc_id", "page_no", "sig").agg(F.min("table_id").alias("table_id"))
+    pairs = once.join(sigs, ["doc_id", "page_no"]).filter(F.contains("own", F.col("sig")) | F.contains("sig", F.col("own")))
+    return texts.join(_bounded(pairs.groupBy("doc_id", "page_no", "text").agg(F.min("table_id").alias("table_id"))), ["doc_id", "page_no", "text"], "left")
+
+
 def cell_texts(texts: DataFrame, tables: DataFrame, key: str = "item_id") -> DataFrame:
     """Texts of at least six signature characters that equal, contain or are contained in a cell on their page."""
-    t = texts.select("doc_id", "page_no", key, T.cell_signature(F.col("text")).alias("own")).filter("length(own) >= 6")
-    pairs = t.join(cell_signatures(tables), ["doc_id", "page_no"]).filter(F.contains("own", F.col("sig")) | F.contains("sig", F.col("own")))
-    return first_by(pairs, ["doc_id", key], [F.asc("table_id")]).select("doc_id", key, "table_id")
+    met = _cell_tables(texts.select("doc_id", "page_no", key, "text"), tables).filter("table_id is not null").select("doc_id", key, "table_id")
+    # few rows share an id, so nothing is to be gained by sorting before the shuffle
+    return first_by(met.repartition("doc_id", key), ["doc_id", key], [F.asc("table_id")])
 
 
 def roles(texts: DataFrame, tables: DataFrame, images: DataFrame, key: str = "item_id") -> DataFrame:
