@@ -243,8 +243,11 @@ def roles(texts: DataFrame, tables: DataFrame, images: DataFrame, key: str = "it
 
 def table_bounds(tables: DataFrame, texts: DataFrame) -> DataFrame:
     """Vertical bounds of tables from the texts of their cells, kept inside their boxes."""
-    m = cell_texts(texts, tables).join(texts.select("doc_id", "item_id", F.col("bbox").alias("text_box")), ["doc_id", "item_id"])
-    b = m.groupBy("doc_id", "table_id").agg(F.min(F.col("text_box")[1]).alias("top"), F.max(F.col("text_box")[3]).alias("bottom"))
+    t = texts.select("doc_id", "page_no", "item_id", "text", F.col("bbox")[1].alias("y0"), F.col("bbox")[3].alias("y1"))
+    rows = _cell_tables(t, tables).select("doc_id", "item_id", "table_id", "y0", "y1").repartition("doc_id", "item_id")
+    # an id's rows all belong to its first table
+    items = rows.groupBy("doc_id", "item_id").agg(F.min("table_id").alias("table_id"), F.min("y0").alias("y0"), F.max("y1").alias("y1"))
+    b = items.filter("doc_id is not null and item_id is not null").groupBy("doc_id", "table_id").agg(F.min("y0").alias("top"), F.max("y1").alias("bottom"))
     out = tables.join(b, ["doc_id", "table_id"], "left")
     return out.select("doc_id", "table_id", F.greatest(F.col("bbox")[1], F.coalesce("top", F.col("bbox")[1])).alias("top"), F.least(F.col("bbox")[3], F.coalesce("bottom", F.col("bbox")[3])).alias("bottom"))
 
