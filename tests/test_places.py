@@ -84,3 +84,15 @@ def test_merge_sources_makes_no_pairs(spark):
     a = some_boxes(spark, 1, "a", False)
     plan = TB.merge_sources(*[a.withColumn("table_id", F.col("region_id")).withColumn("rows", F.array(F.array("region_id")))] * 2)._jdf.queryExecution().toString()
     assert "FlatMapCoGroupsInArrow" in plan and "Inner" not in plan
+
+
+def test_overlapping_pairs_are_all_there_and_no_join_makes_them(spark):
+    for odd in (False, True):
+        a = some_boxes(spark, 3, "a", odd).cache()
+        x, y = F.col("bbox"), F.col("box")
+        other = a.select("doc_id", "page_no", F.col("bbox").alias("box"), F.col("region_id").alias("b_id"))
+        want = a.join(other, ["doc_id", "page_no"]).filter((F.col("region_id") < F.col("b_id")) & (G.overlap_by_smaller(x, y) >= 0.65))
+        want = want.select("doc_id", "region_id", "b_id", G.overlap_by_smaller(x, y), G.overlap_by_own(x, y))
+        got = P.overlaps(a, 0.65)
+        assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, map(tuple, want.collect()))) != []
+        assert "Join" not in got._jdf.queryExecution().toString()
