@@ -174,12 +174,15 @@ class Runs:
             return out
         c = context - self.first
         at = np.flatnonzero((c >= 0) & (c < self.contexts))
-        begin, end = self.pointers.at_both(c[at])
+        c = c[at]
+        opens = np.flatnonzero(np.concatenate([[True], c[1:] != c[:-1]])) if len(c) else at  # words of one context mostly come together: its pointers are read once
+        begin, end = self.pointers.at_both(c[opens])
+        base = np.zeros(len(opens), np.int64)  # a run begins above the last successor of the run before
+        later = (begin > 0) & (begin < end)
+        base[later] = self.words.at(begin[later] - 1) + 1
+        begin, end, base = (np.repeat(x, np.diff(np.append(opens, len(c)))) for x in (begin, end, base))
         some = begin < end
         at, begin, end = at[some], begin[some], end[some]
-        base = np.zeros(len(at), np.int64)  # a run begins above the last successor of the run before
-        later = begin > 0
-        base[later] = self.words.at(begin[later] - 1) + 1
-        place = self.words.find(base + word[at])
+        place = self.words.find(base[some] + word[at])
         out[at] = np.where((place >= begin) & (place < end), place, -1)
         return out

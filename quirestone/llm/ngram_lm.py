@@ -25,7 +25,6 @@ from __future__ import annotations
 
 import functools
 import uuid
-from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
@@ -38,7 +37,6 @@ from pyspark.sql import functions as F
 from .binary_records import file_system
 from .common import doc_hash, even, forget, fresh_path, long_ids, materialize, only_cache, texts_by_id, tidied
 from .elias_fano import Runs, encode_runs
-from .encoding import Generations, filled
 
 DISCOUNT = 0.75
 ALPHA = 0.1
@@ -48,9 +46,13 @@ PAIRS = "context long, word long, n long"
 #: One step of a stored log10 probability; 16 bits reach down to 1e-19.
 STEP = 3e-4
 #: Different words, and tokens, that a task gathers before it sends its counts on.
-WORDS, FLUSH = 600_000, 600_000
+WORDS, FLUSH = 600_000, 1_500_000
+#: Characters of texts that are cut into tokens together (a longer text is cut whole).
+CUT = 4_000_000
 #: Tokens that are scored together (a longer text is scored whole).
-SCORED = 300_000
+SCORED = 600_000
+#: Tokens of which one task adds up the n-grams.
+SUMMED = 2_000_000
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -58,13 +60,64 @@ def tokens(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
-def token_hash(word: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(word) >> 1
+#: The end token can't be a word: it holds a space.
+END_HASH = xxhash.xxh3_64_intdigest(b" end") >> 1
+
+_U = np.uint64
+_SPACES = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
+#: Keeps the first 0 to 8 bytes of a little-endian number.
+_FIRST = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)
+#: Bytes from which on a token is hashed alone.
+LONG = 64
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """The numbers, each mapped to another one, with every bit spread over all."""
+    for shift, by in ((32, 0xD6E8FEB86659FD93), (29, 0xBF58476D1CE4E5B9)):
+        x = (x ^ (x >> _U(shift))) * _U(by)
+    return x ^ (x >> _U(32))
+
+
+def token_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """63-bit hashes of the tokens of some texts, one after the other, each text's end token too; and tokens of each text.
+
+    All tokens are cut and hashed side by side, eight bytes at a time; :func:`tokens` says which they are."""
+    raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+    data = b" " + b" ".join(raw).lower() + b" " * 9
+    space = _SPACES[np.frombuffer(data, np.uint8)]
+    edges = np.flatnonzero(space[1:] != space[:-1]) + 1
+    starts, size = edges[::2], edges[1::2] - edges[::2]
+    eight = np.ndarray((len(data) - 7,), "<u8", data, 0, (1,))  # 8 bytes from every byte on
+    h = _mixed((eight[starts] & _FIRST[np.minimum(size, 8)]) + size.astype(np.uint64) * _U(0x9E3779B97F4A7C15))
+    for at in range(8, LONG, 8):
+        more = np.flatnonzero((size > at) & (size < LONG))
+        if not len(more):
+            break
+        h[more] = _mixed((h[more] * _U(0x94D049BB133111EB)) ^ (eight[starts[more] + at] & _FIRST[np.minimum(size[more] - at, 8)]))
+    for i in np.flatnonzero(size >= LONG).tolist():
+        h[i] = xxhash.xxh3_64_intdigest(data[starts[i] : starts[i] + size[i]])
+    ends = np.searchsorted(starts, np.cumsum([len(x) + 1 for x in raw], dtype=np.int64) + 1)  # words up to each text's end
+    out = np.full(len(starts) + len(texts), END_HASH, np.int64)
+    out[np.arange(len(starts)) + np.repeat(np.arange(len(texts)), np.diff(ends, prepend=0))] = h >> _U(1)
+    return out, np.diff(ends, prepend=0) + 1
 
 
-#: The end token can't be a word: it holds a space.
-END_TOKEN = b" end"
-END_HASH = token_hash(END_TOKEN)
+def _cut_in_parts(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """:func:`token_hashes` of about ``CUT`` characters at a time."""
+    lo = held = 0
+    for hi, t in enumerate(texts, 1):
+        held += len(t or "") + 1
+        if held >= CUT or hi == len(texts):
+            yield token_hashes(texts[lo:hi])
+            lo, held = hi, 0
+
+
+def summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different keys in order, with the sums of ``n``."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.add.reduceat(n[order], first) if len(keys) else n
 
 
 @dataclass
@@ -109,11 +162,10 @@ def _save(uri: str, name: str, data: bytes) -> None:
 
 
 class Reader:
-    """Lookups in a trie; ``ids`` caches tokens, so the first level is asked once for each."""
+    """Lookups in a trie."""
 
-    def __init__(self, trie: Trie, cache: int = 300_000):
-        self.trie, self.cache = trie, Generations(cache)
-        self.end = int(self.ranks(0, None, np.array([END_HASH]))[0]) if trie.levels else -1
+    def __init__(self, trie: Trie):
+        self.trie = trie
 
     def _shard(self, level: int, context: np.ndarray, word: np.ndarray) -> np.ndarray:
         """The shard that would hold each pair (-1: before the first)."""
@@ -140,8 +192,7 @@ class Reader:
         out = np.full(len(word), -1, np.int64)
         lv = self.trie.levels[level]
         shard = self._shard(level, context, word)
-        for s in _there(shard):
-            at = np.flatnonzero(shard == s)
+        for s, at in _by_shard(shard):
             got = _runs_of(self.trie.folder, f"{lv.names[s]}.ef").find(context[at], word[at])
             out[at] = np.where(got >= 0, got + lv.ranks[s], -1)
         return out
@@ -152,22 +203,17 @@ class Reader:
         out = np.full(len(ranks), missing, np.float64)
         shard = np.searchsorted(np.array(lv.ranks, np.int64), ranks, "right") - 1
         shard[ranks < 0] = -1
-        for s in _there(shard):
-            at = np.flatnonzero(shard == s)
+        for s, at in _by_shard(shard):
             stored = np.frombuffer(_mapped(self.trie.folder, f"{lv.names[s]}.{kind}"), "<u8" if kind == "count" else "<u2")
             out[at] = stored[ranks[at] - lv.ranks[s]]
         return out
 
-    def ids(self, words: list[bytes]) -> np.ndarray:
-        """The id of each word, -1 if training has none; new words are looked up together."""
-        cache = self.cache.ready()
-        got = list(map(cache.__getitem__, words))
-        if cache.ask:
-            new = list(cache.ask)
-            ids = self.ranks(0, None, np.array([token_hash(w) for w in new], np.int64)) if self.trie.levels else np.full(len(new), -1)
-            cache.update(zip(new, ids.tolist()))
-            filled(got, words, cache)
-        return np.array(got, np.int64)
+    def ids(self, hashes: np.ndarray) -> np.ndarray:
+        """The id of each token, -1 if training has none; each is looked up once, in order."""
+        if not self.trie.levels:
+            return np.full(len(hashes), -1, np.int64)
+        different, back = np.unique(hashes, return_inverse=True)
+        return self._ranks(0, np.zeros(len(different), np.int64), different)[back]
 
     def base(self, ids: np.ndarray) -> np.ndarray:
         """log10 of the smoothed share of each token."""
@@ -182,33 +228,51 @@ class Reader:
         out[ok] = self.ranks(1, a[ok], b[ok])
         return out
 
-    def probability(self, grams: list[np.ndarray], runs: bool = False) -> np.ndarray:
+    def probability(self, grams: list[np.ndarray], runs: bool = False, base: np.ndarray | None = None) -> np.ndarray:
         """log10 probability of the ids in the last of 2 or 3 columns given those before (-2: no token there).
 
-        ``runs``: rows are texts' consecutive runs, so a row's context is the last pair of the row before."""
+        ``runs``: rows are texts' consecutive runs, so a row's context is the last pair of the row before. ``base``: :meth:`base` of the last column, if known."""
         order, levels, word = len(grams), len(self.trie.levels), grams[-1]
-        score = self.base(word)
+        score = self.base(word) if base is None else base
         if levels < 2 or order < 2:
             return score
-        pair = self._pairs(grams[-2], word)
-        score = self._with_context(score, 0, grams[-2], 1, pair)
+        score, pair = self._with_context(score, 0, grams[-2], word)
         if levels < 3 or order < 3:
             return score
         context = np.where(grams[0] >= 0, np.concatenate([[-1], pair[:-1]]), -1) if runs else self._pairs(grams[0], grams[1])
-        rank = np.full(len(word), -1, np.int64)
-        ok = np.flatnonzero((context >= 0) & (word >= 0))
-        rank[ok] = self.ranks(2, context[ok], word[ok])
-        return self._with_context(score, 1, context, 2, rank)
-
-    def _with_context(self, shorter: np.ndarray, level: int, context: np.ndarray, above: int, rank: np.ndarray) -> np.ndarray:
-        """Stored probabilities where the n-gram is there, else the context's rest times the shorter one's."""
-        backed = shorter - STEP * self.values(level, "left", context, 0.0)
-        return np.where(rank >= 0, -STEP * self.values(above, "prob", rank, 0.0), backed)
-
-
-def _there(shard: np.ndarray) -> np.ndarray:
-    """The shards that occur, -1 aside."""
-    return np.flatnonzero(np.bincount(shard + 1)[1:])
+        return self._with_context(score, 1, context, word)[0]
+
+    def _with_context(self, shorter: np.ndarray, level: int, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Stored probabilities where the n-gram is there, else the context's rest times the shorter one's; and ranks of the n-grams.
+
+        Different pairs are looked up once each, in order, with what is stored of them."""
+        out, rank = shorter.copy(), np.full(len(word), -1, np.int64)
+        alone = np.flatnonzero((context >= 0) & (word < 0))
+        out[alone] -= STEP * self.values(level, "left", context[alone], 0.0)
+        both = np.flatnonzero((context >= 0) & (word >= 0))
+        if not len(both):
+            return out, rank
+        c, w, back = unique_pairs(context[both], word[both], self.trie.levels[level].n)
+        got = self._ranks(level + 1, c, w)
+        rank[both] = got[back]
+        there, gone = got >= 0, np.flatnonzero(got < 0)
+        stored = np.zeros(len(got))
+        stored[there] = self.values(level + 1, "prob", got[there], 0.0)
+        stored[gone] = self.values(level, "left", c[gone], 0.0)
+        out[both] = np.where(there[back], 0.0, out[both]) - STEP * stored[back]
+        return out, rank
+
+
+def _by_shard(shard: np.ndarray) -> Iterator[tuple[int, slice | np.ndarray]]:
+    """The shards that occur, -1 aside, and where: a slice where they ascend."""
+    if len(shard) and (shard[1:] >= shard[:-1]).all():
+        bounds = np.searchsorted(shard, np.arange(shard[0], shard[-1] + 2)).tolist()
+        for s, lo, hi in zip(range(int(shard[0]), int(shard[-1]) + 1), bounds, bounds[1:]):
+            if s >= 0 and lo < hi:
+                yield s, slice(lo, hi)
+        return
+    for s in np.flatnonzero(np.bincount(shard + 1)[1:]).tolist():
+        yield s, np.flatnonzero(shard == s)
 
 
 def unique_pairs(context: np.ndarray, word: np.ndarray, contexts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -239,6 +303,40 @@ def counted_pairs(context: np.ndarray, word: np.ndarray, contexts: int, width: i
     return pd.DataFrame({"context": context, "word": word, "n": np.bincount(back, minlength=len(word)).astype(np.int64)})
 
 
+#: Multiplies keys of so many bits to others, one to one, that are spread evenly.
+SPREAD = 0x9E3779B97F4A7C15
+
+
+def _halves(keys: np.ndarray) -> bytes:
+    """Numbers as their lower and their upper 32 bits, which compress: in order, few of the latter differ."""
+    return (keys & _U(0xFFFFFFFF)).astype("<u4").tobytes() + (keys >> _U(32)).astype("<u4").tobytes()
+
+
+def _joined(data: bytes) -> np.ndarray:
+    lower, upper = np.frombuffer(data, "<u4").reshape(2, -1)
+    return upper.astype(np.uint64) << _U(32) | lower
+
+
+def packed_counts(keys: np.ndarray, bits: int, parts: int) -> pd.DataFrame:
+    """Counts of keys of at most ``bits`` bits as a row for each of ``parts`` equal ranges of spread keys: those that occur once, the others, and how often those do."""
+    spread, n = np.unique((keys.astype(np.uint64) * _U(SPREAD)) & _U((1 << bits) - 1), return_counts=True)
+    bounds = np.array([-(-(p << bits) // parts) for p in range(1, parts)], np.uint64)
+    once, often, n = spread[n == 1], spread[n > 1], n[n > 1].astype("<u4")
+    cuts = zip(*(zip([0, *c], [*c, len(x)]) for x in (once, often) for c in [np.searchsorted(x, bounds).tolist()]))
+    rows = [(p, _halves(once[a:b]), _halves(often[c:d]), n[c:d].tobytes()) for p, ((a, b), (c, d)) in enumerate(cuts) if a < b or c < d]
+    return pd.DataFrame(rows, columns=["part", "once", "often", "n"])
+
+
+def unpacked_counts(rows: list[tuple[bytes, bytes, bytes]], bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and sums of the counts of some rows of one part."""
+    keys, n = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for once, often, counts in rows:
+        keys += [_joined(once), _joined(often)]
+        n += [np.ones(len(once) // 8, np.int64), np.frombuffer(counts, "<u4").astype(np.int64)]
+    spread, total = summed(np.concatenate(keys), np.concatenate(n))
+    return ((spread * _U(pow(SPREAD, -1, 1 << 64))) & _U((1 << bits) - 1)).astype(np.int64), total
+
+
 def _steps(p: np.ndarray) -> bytes:
     return np.clip(np.round(-np.log10(np.maximum(p, 1e-30)) / STEP), 0, 65_535).astype("<u2").tobytes()
 
@@ -258,21 +356,22 @@ def _reader(trie: Trie) -> Reader:
 
 def _word_counts(texts: DataFrame) -> DataFrame:
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: Counter = Counter()
-        ends = 0
-
-        def out():
-            return pd.DataFrame({"word": np.array([token_hash(w) for w in seen], np.int64), "n": np.array(list(seen.values()), np.int64)})
-
+        keys, n, held = [], [], 0
         for pdf in batches:
-            for text in pdf["text"]:
-                seen.update(tokens(text))
-                ends += 1
-                if len(seen) > WORDS:
-                    yield out()
-                    seen.clear()
-        yield out()
-        yield pd.DataFrame({"word": [END_HASH], "n": [ends]}).query("n > 0")
+            for hashes, _ in _cut_in_parts(pdf["text"].tolist()):
+                k, c = np.unique(hashes, return_counts=True)
+                keys.append(k)
+                n.append(c)
+                held += len(k)
+                if held > 2 * WORDS:
+                    k, c = summed(np.concatenate(keys), np.concatenate(n))
+                    keys, n, held = [k], [c], len(k)
+                    if held > WORDS:
+                        yield pd.DataFrame({"word": k, "n": c})
+                        keys, n, held = [], [], 0
+        if held:
+            k, c = summed(np.concatenate(keys), np.concatenate(n))
+            yield pd.DataFrame({"word": k, "n": c})
 
     counts = texts.mapInPandas(work, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
     return counts.select(F.lit(0).cast("long").alias("context"), "word", "n")
@@ -287,17 +386,9 @@ def _encoded(rows: DataFrame, trie: Trie) -> DataFrame:
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         reader = _reader(trie)
         for pdf in batches:
-            texts, out, lo = pdf["text"].tolist(), [], 0
-            while lo < len(texts):
-                words: list[bytes] = []
-                ends = []
-                while lo < len(texts) and len(words) < 100_000:
-                    words += tokens(texts[lo])
-                    words.append(END_TOKEN)
-                    ends.append(len(words))
-                    lo += 1
-                data = reader.ids(words).astype(kind)
-                out += [x.tobytes() for x in np.split(data, ends[:-1])]
+            out = []
+            for hashes, n in _cut_in_parts(pdf["text"].tolist()):
+                out += [x.tobytes() for x in np.split(reader.ids(hashes).astype(kind), np.cumsum(n)[:-1])]
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "held_out": pdf["held_out"], "ids": out})
 
     return rows.mapInPandas(work, "doc_id string, held_out boolean, ids binary")
@@ -322,40 +413,49 @@ def _runs(parts: list[bytes], kind: str, size: int) -> tuple[list[np.ndarray], n
     return [*columns, flat], n
 
 
-def _gram_counts(encoded: DataFrame, trie: Trie, size: int) -> DataFrame:
-    """Counts of the entries (context, word) of level ``size``, n-grams whose parts are in the level before."""
+def _gram_counts(encoded: DataFrame, trie: Trie, size: int, least: int = 1) -> DataFrame:
+    """Counts, from ``least`` on, of the entries (context, word) of level ``size``, n-grams whose parts are in the level before.
+
+    Where a pair fits into one number, a task's counts travel packed, a row for each task that adds them up."""
     kind, contexts = id_type(trie), trie.levels[size - 2].n
     width = trie.vocabulary if fits(contexts, trie.vocabulary) else None
+    bits = (contexts * trie.vocabulary).bit_length()
+    parts = max(int(encoded.sparkSession.conf.get("spark.sql.shuffle.partitions")), trie.total // SUMMED)
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         reader = _reader(trie)
 
-        def counted(parts: list[bytes]) -> pd.DataFrame:
-            runs, _ = _runs(parts, kind, size)
-            if size == 2:
-                ok = runs[0] >= 0
-                return counted_pairs(runs[0][ok], runs[1][ok], contexts, width)
-            # the first pair of a run is the last pair of the run before, so each place's pair is ranked once
-            pair = reader._pairs(runs[1], runs[2])
-            context = np.where(runs[0] >= 0, np.concatenate([[-1], pair[:-1]]), -1)
-            ok = (context >= 0) & (pair >= 0)
-            return counted_pairs(context[ok], runs[2][ok], contexts, width)
-
-        parts, held = [], 0
+        def counted(texts: list[bytes]) -> pd.DataFrame:
+            runs, _ = _runs(texts, kind, size)
+            context, word = runs[-2:]
+            ok = context >= 0
+            if size == 3:
+                # the first pair of a run is the last pair of the run before, so each place's pair is ranked once
+                pair = reader._pairs(context, word)
+                context = np.where(runs[0] >= 0, np.concatenate([[-1], pair[:-1]]), -1)
+                ok = (context >= 0) & (pair >= 0)
+            context, word = context[ok], word[ok]
+            return packed_counts(context * width + word, bits, parts) if width else counted_pairs(context, word, contexts, None)
+
+        texts, held = [], 0
         for pdf in batches:
             for p in pdf["ids"]:
-                parts.append(p)
+                texts.append(p)
                 held += len(p) // 4
                 if held > FLUSH:
-                    yield counted(parts)
-                    parts, held = [], 0
-        if parts:
-            yield counted(parts)
+                    yield counted(texts)
+                    texts, held = [], 0
+        if texts:
+            yield counted(texts)
+
+    def added(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, n = unpacked_counts([r for pdf in batches for r in zip(pdf["once"], pdf["often"], pdf["n"])], bits)
+        key, n = key[n >= least], n[n >= least]
+        yield pd.DataFrame({"context": key // width, "word": key % width, "n": n})
 
     if not width:
-        return encoded.mapInPandas(work, PAIRS).groupBy("context", "word").agg(F.sum("n").alias("n"))
-    summed = encoded.mapInPandas(work, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    return summed.select(F.expr(f"key div {width}").alias("context"), (F.col("key") % F.lit(width)).alias("word"), "n")
+        return encoded.mapInPandas(work, PAIRS).groupBy("context", "word").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+    return encoded.mapInPandas(work, "part int, once binary, often binary, n binary").repartitionById(parts, "part").mapInPandas(added, PAIRS)
 
 
 def _write_level(entries: DataFrame, there: int, trie: Trie, value) -> Level:
@@ -426,7 +526,7 @@ def train(rows: DataFrame, order: int = 3, least: int = LEAST) -> tuple[Trie, Da
     forget(spark, words)
     encoded = materialize(_encoded(rows, trie), "lm-ids")
     for size in range(2, order + 1 if trie.total else 2):
-        kept = materialize(_gram_counts(encoded.filter("not held_out").select("ids"), trie, size).filter(F.col("n") >= least), "lm-grams")
+        kept = materialize(_gram_counts(encoded.filter("not held_out").select("ids"), trie, size, least), "lm-grams")
         there = kept.count()
         if not there:
             break
@@ -482,7 +582,8 @@ def scored(docs: DataFrame, order: int = 3, folds: int = 10, least: int = LEAST)
                 part = pdf.iloc[lo:hi]
                 runs, n = _runs(part["ids"].tolist(), kind, order)
                 doc = np.repeat(np.arange(len(part)), n)
-                base, score = reader.base(runs[-1]), reader.probability(runs, runs=True)
+                base = reader.base(runs[-1])
+                score = reader.probability(runs, runs=True, base=base)
                 yield pd.DataFrame({
                     "doc_id": part["doc_id"].to_numpy(), "held_out": part["held_out"].to_numpy(), "n_tokens": n,
                     "n_known": np.bincount(doc, runs[-1] >= 0, len(part)).astype(np.int64), "train_tokens": trie.total,
