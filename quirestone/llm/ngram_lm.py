@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from .binary_records import file_system
 from .common import doc_hash, even, forget, fresh_path, long_ids, materialize, only_cache, texts_by_id, tidied
 from .elias_fano import Runs, encode_runs
+from .encoding import span_hashes
 
 DISCOUNT = 0.75
 ALPHA = 0.1
@@ -65,17 +66,6 @@ END_HASH = xxhash.xxh3_64_intdigest(b" end") >> 1
 
 _U = np.uint64
 _SPACES = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
-#: Keeps the first 0 to 8 bytes of a little-endian number.
-_FIRST = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)
-#: Bytes from which on a token is hashed alone.
-LONG = 64
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    """The numbers, each mapped to another one, with every bit spread over all."""
-    for shift, by in ((32, 0xD6E8FEB86659FD93), (29, 0xBF58476D1CE4E5B9)):
-        x = (x ^ (x >> _U(shift))) * _U(by)
-    return x ^ (x >> _U(32))
 
 
 def token_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -87,15 +77,7 @@ def token_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     space = _SPACES[np.frombuffer(data, np.uint8)]
     edges = np.flatnonzero(space[1:] != space[:-1]) + 1
     starts, size = edges[::2], edges[1::2] - edges[::2]
-    eight = np.ndarray((len(data) - 7,), "<u8", data, 0, (1,))  # 8 bytes from every byte on
-    h = _mixed((eight[starts] & _FIRST[np.minimum(size, 8)]) + size.astype(np.uint64) * _U(0x9E3779B97F4A7C15))
-    for at in range(8, LONG, 8):
-        more = np.flatnonzero((size > at) & (size < LONG))
-        if not len(more):
-            break
-        h[more] = _mixed((h[more] * _U(0x94D049BB133111EB)) ^ (eight[starts[more] + at] & _FIRST[np.minimum(size[more] - at, 8)]))
-    for i in np.flatnonzero(size >= LONG).tolist():
-        h[i] = xxhash.xxh3_64_intdigest(data[starts[i] : starts[i] + size[i]])
+    h = span_hashes(data, starts, size)
     ends = np.searchsorted(starts, np.cumsum([len(x) + 1 for x in raw], dtype=np.int64) + 1)  # words up to each text's end
     out = np.full(len(starts) + len(texts), END_HASH, np.int64)
     out[np.arange(len(starts)) + np.repeat(np.arange(len(texts)), np.diff(ends, prepend=0))] = h >> _U(1)
